@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import hash128, letters_digits, turkish_lower
+from textloom.session import cut
 
 MIN_CHARS = 40
 # Frequent Turkish letters whose counts form the histogram.
@@ -68,7 +69,7 @@ def copy_classes(df: DataFrame, id_col: str = "line_id", text_col: str = "text",
     aggregation; the join back has one row per class on its other side and is
     split by adaptive execution where a class is hot.
     """
-    keyed = keyed_lines(df, id_col, text_col, min_chars)
+    keyed = cut(keyed_lines(df, id_col, text_col, min_chars), "keyed")
     # Lines with the same letters in order form a class; classes that contain lines
     # with the same sorted fields are one class.
     plain = keyed.groupBy("k1", "k2").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(F.when(F.col("f1").isNotNull(), F.struct("f1", "f2"))).alias("f"))
