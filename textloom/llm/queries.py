@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textloom.llm import copies, neardup
+from textloom.llm import copies, leak, mojibake, neardup, overlap, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.found(table(spark, sf_dir, "shards"))
+
+
+def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line_id, restored, chains, stretches, lost): the affected lines as they were, as far as can be told."""
+    return mojibake.repair(table(spark, sf_dir, "shards")).select(F.col("id").alias("line_id"), "restored", F.array_join("chains", "; ").alias("chains"), "stretches", "lost")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.found(table(spark, sf_dir, "shards"))
 
@@ -23,6 +33,14 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "shards"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.found(table(spark, sf_dir, "shards"))
+
+
+def p3_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.statistics(table(spark, sf_dir, "shards"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.found(table(spark, sf_dir, "shards"))
 
@@ -31,6 +49,22 @@ def p5_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.copy_counts(table(spark, sf_dir, "shards"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.found(table(spark, sf_dir, "holdout"), table(spark, sf_dir, "train"))
+
+
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.report(table(spark, sf_dir, "holdout"), table(spark, sf_dir, "train"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak.found(table(spark, sf_dir, "eval_items"), table(spark, sf_dir, "documents"))
+
+
+def p8_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak.matches(table(spark, sf_dir, "eval_items"), table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
 

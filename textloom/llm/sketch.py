@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -83,8 +83,11 @@ def word_lines(df: DataFrame, id_col: str, text_col: str, min_words: int) -> Dat
     return lines.where(F.size("words") >= min_words).withColumn("words", F.transform("words", lambda w: F.xxhash64(w)))
 
 
-def count_table(features: DataFrame, column: str = "feats") -> np.ndarray:
-    """How many rows hold a feature of each bucket, over all rows, at most 65,535 each.
+def count_table(features: DataFrame, column: str = "feats", prepare: Callable | None = None) -> np.ndarray:
+    """How many times a feature of each bucket occurs, over all rows, at most 65,535 each.
+
+    ``prepare`` makes 32-bit features from the values and row lengths of ``column``;
+    without it the values are features.
 
     A bucket counts every feature that falls into it, so the true number of rows
     of a feature is never larger. The table has 2**COUNT_BITS places at any scale.
@@ -93,8 +96,9 @@ def count_table(features: DataFrame, column: str = "feats") -> np.ndarray:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNT_BITS, np.int64)
         for b in batches:
-            f, _ = flat(b.column(0))
-            total += np.bincount(bucket_of(f.view(np.uint32)), minlength=1 << COUNT_BITS)
+            f, n = flat(b.column(0))
+            f = prepare(f, n) if prepare else f.view(np.uint32)
+            total += np.bincount(bucket_of(f), minlength=1 << COUNT_BITS)
         at = np.flatnonzero(total)
         for i in range(0, len(at), 100_000):
             part = at[i : i + 100_000]
