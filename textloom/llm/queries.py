@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import copies, leak, mojibake, neardup, overlap, quality
+from textloom.llm import copies, leak, mixing, mojibake, neardup, overlap, packing, quality, subjects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,21 @@ def p3_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.statistics(table(spark, sf_dir, "shards"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.found(table(spark, sf_dir, "mix_runs"), table(spark, sf_dir, "sources"), table(spark, sf_dir, "state"))
+
+
+def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "mix_runs"), table(spark, sf_dir, "sources"), table(spark, sf_dir, "state"))
+
+
+def p4_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in training order, half as many characters again as there are, each source at most four times."""
+    docs = table(spark, sf_dir, "documents")
+    total = 1.5 * (docs.agg(F.sum(F.length("text"))).first()[0] or 0)
+    return mixing.positions(docs, mixing.constant_schedule(table(spark, sf_dir, "sources")), total, 4)
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.found(table(spark, sf_dir, "shards"))
 
@@ -57,6 +72,14 @@ def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.report(table(spark, sf_dir, "holdout"), table(spark, sf_dir, "train"))
 
 
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.containers(table(spark, sf_dir, "documents"))
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill(packing.containers(table(spark, sf_dir, "documents")))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak.found(table(spark, sf_dir, "eval_items"), table(spark, sf_dir, "documents"))
 
@@ -65,9 +88,36 @@ def p8_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak.matches(table(spark, sf_dir, "eval_items"), table(spark, sf_dir, "documents"))
 
 
+def subject_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels"), table(spark, sf_dir, "subjects")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.found(*subject_tables(spark, sf_dir))
+
+
+def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.composition(*subject_tables(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
 
 
+PLAN = """
+with last as (
+  select run_id, lower(trim(source)) as k, arg_max(chars, struct_pack(a := saved_at, b := chars)) as chars
+  from state where chars is not null and source is not null group by 1, 2),
+plan as (
+  select r.run_id, s.name as source, s.quota, coalesce(l.chars, 0) as chars, r.max_repeat, s.quota * r.total_chars as target
+  from mix_runs r cross join sources s left join last l on l.run_id = r.run_id and l.k = lower(trim(s.name))
+  where s.quota > 0),
+used as (select *, chars * max_repeat < target as short, least(cast(chars * max_repeat as double), target) as used from plan)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p4_found": PLAN + "select run_id, source from used where short",
+        "p4_report": PLAN + "select run_id, source, quota, chars, round(target, 3) as target, round(used, 3) as used, round(used / sum(used) over (partition by run_id), 9) as share, short from used",
+    }
