@@ -48,14 +48,18 @@ MARKS = re.compile("[\u0300-\u036f]+")
 SCHEMA = "item_id bigint, doc_id bigint, words int, kind string"
 
 
-def plain_words(text: str) -> list[str]:
-    """The words of a text without regard to letter case and diacritics."""
+def plain_text(text: str) -> str:
+    """A text without letter case and diacritics."""
     text = text.replace("İ", "i").lower()
     if not text.isascii():
         for a, b in PLAIN.items():
             text = text.replace(a, b)
         text = MARKS.sub("", unicodedata.normalize("NFKD", text))
-    return WORDS.findall(text)
+    return text
+
+
+def plain_words(text: str) -> list[str]:
+    return WORDS.findall(plain_text(text))
 
 
 class Items:
