@@ -38,3 +38,68 @@ def hash128(text: Column) -> tuple[Column, Column]:
 def word_hashes(words: Column) -> Column:
     """The 64-bit hash of every word of a ``word_string``; an empty array when there is none."""
     return F.when(F.length(words) > 0, F.transform(F.split(words, " "), lambda w: F.xxhash64(w))).otherwise(F.array().cast("array<bigint>"))
+
+
+# ---- lines: cleaning, keys, reasons for rejection, quality flags ----
+
+# Limits of a usable line.
+MIN_CHARS, MAX_CHARS, MIN_SPACES, MIN_LETTER_SHARE = 20, 2000, 2, 0.5
+# Letters that tell Turkish text.
+TURKISH_LETTERS = "çğıöşüÇĞİÖŞÜ"
+# Punctuation that counts as ordinary.
+ORDINARY = r".,!?;:'\"()/-"
+
+
+def count_letters(text: Column) -> Column:
+    return F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
+
+
+def count_char(text: Column, chars: str) -> Column:
+    """How many of the characters of ``text`` are in ``chars``."""
+    return F.length(text) - F.length(F.translate(text, chars, ""))
+
+
+def reject_reason(line: Column) -> Column:
+    """The first reason not to use a line: length, few_words, low_letters; null for a usable line."""
+    n = F.length(line)
+    return (
+        F.when((n < MIN_CHARS) | (n > MAX_CHARS), "length")
+        .when(count_char(line, " ") < MIN_SPACES, "few_words")
+        .when(count_letters(line) < n * MIN_LETTER_SHARE, "low_letters")
+    )
+
+
+def dedup_norm(line: Column) -> Column:
+    """What two lines must share to be duplicates: letters and digits in (root locale) lower case, blanks collapsed."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+
+
+def has_replacement(line: Column) -> Column:
+    return F.contains(line, F.lit("�"))
+
+
+def all_caps(line: Column) -> Column:
+    return (F.length(line) > 40) & (line == F.upper(line)) & (line != F.lower(line))
+
+
+def low_variety(line: Column) -> Column:
+    words = F.split(line, " ")
+    return (F.size(words) >= 8) & (F.size(F.array_distinct(words)) < F.size(words) * 0.3)
+
+
+def clip(line: Column, width: int = 600, tail: int = 200) -> Column:
+    """A preview: whole where short, else up to the nearest sentence end in the next ``tail`` characters, else up to the last blank."""
+    rest = F.substring(line, width + 1, tail)
+    end = F.length(F.regexp_extract(rest, r"^[^.!?]*[.!?]", 0))
+    head = F.substring(line, 1, width)
+    blank = F.length(F.regexp_extract(head, r"^(?s:.+)(?= )", 0))
+    return (
+        F.when(F.length(line) <= width, line)
+        .when(end > 0, F.substring(line, F.lit(1), F.lit(width) + end))
+        .otherwise(F.concat(F.when(blank > 0, F.substring(line, F.lit(1), blank)).otherwise(head), F.lit(" ...")))
+    )
+
+
+def hash_fraction(text: Column, salt: str) -> Column:
+    """A salted 60-bit number from SHA-256, the same in any engine: for splits and draws."""
+    return F.conv(F.substring(F.sha2(F.concat(F.lit(salt), text), 256), 1, 15), 16, 10).cast("bigint")
