@@ -86,7 +86,8 @@ def collect_resume(lines: DataFrame, sources: DataFrame, total: float, already:
     Records up to the last one taken of a source are skipped; copies of what was
     taken stay out, and quotas go on from there.
     """
-    taken = lines.join(already.select("line_id"), "line_id", "left_semi")
+    already = cut(already, "already")
+    taken = cut(lines.join(already.select("line_id"), "line_id", "left_semi").select("source", "rec_id", "line"), "taken")
     done = taken.groupBy("source").agg(F.max("rec_id").alias("done"))
     sums = already.groupBy("source").agg(F.sum("n").alias("had"))
     keys = taken.select(dedup_norm(F.col("line")).alias("norm")).distinct()
