@@ -10,6 +10,16 @@ WHITESPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
+def once(value: Column) -> Column:
+    """A column of the next select that is worked out once a row.
+
+    Filters on an ordinary column are pushed below the projection that makes it, and
+    its expression is then run again wherever it is used. A generated column is not
+    pushed through. For regular expressions that are used several times this counts.
+    """
+    return F.explode(F.array(value))
+
+
 def turkish_lower(text: Column) -> Column:
     """Lower case by Turkish rules: dotted and dotless i are kept apart."""
     return F.lower(F.translate(text, "İI", "iı"))

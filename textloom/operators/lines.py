@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import collapse_space
+from textloom.functions.text import collapse_space, once
 
 LIMIT = 2000
 # Limits of a usable web record.
@@ -60,11 +60,11 @@ def explode_lines(df: DataFrame, keys: list[str], text_col: str = "text", limit:
     x = df.select(*keys, F.posexplode(as_list(df, text_col)).alias("part_no", "part")).where("part is not null")
     x = x.select(*keys, "part_no", F.posexplode(F.split("part", "\n")).alias("raw_no", "raw"))
     if limit is None:
-        return x.select(*keys, "part_no", "raw_no", F.lit(0).alias("chunk_no"), collapse_space(F.col("raw")).alias("line"))
+        return x.select(*keys, "part_no", "raw_no", F.lit(0).alias("chunk_no"), once(collapse_space(F.col("raw"))).alias("line"))
     # Short lines never pass through Python: they are a branch of their own.
     short = x.where(F.length("raw") <= limit).select(*keys, "part_no", "raw_no", F.lit(0).alias("chunk_no"), "raw")
     long = x.where(F.length("raw") > limit).select(*keys, "part_no", "raw_no", F.posexplode(split_long(F.col("raw"), limit)).alias("chunk_no", "raw"))
-    return short.unionByName(long).select(*keys, "part_no", "raw_no", "chunk_no", collapse_space(F.col("raw")).alias("line"))
+    return short.unionByName(long).select(*keys, "part_no", "raw_no", "chunk_no", once(collapse_space(F.col("raw"))).alias("line"))
 
 
 def usable_records(df: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def first_text(*columns: str) -> Column:
 def every_text(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Every listed column of a record becomes a line of its own; null and blank ones are left out."""
     x = df.select(*keys, F.posexplode(F.array(*columns)).alias("field_no", "text")).where("text is not null")
-    return x.select(*keys, "field_no", collapse_space(F.col("text")).alias("line")).where("line <> ''")
+    return x.select(*keys, "field_no", once(collapse_space(F.col("text"))).alias("line")).where("line <> ''")
 
 
 def field_profile(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import collapse_space, reject_reason
+from textloom.functions.text import collapse_space, once, reject_reason
 from textloom.operators import collect, lines, report, split
 
 
@@ -24,7 +24,7 @@ class Settings:
 
 def shard_lines(shards: DataFrame) -> DataFrame:
     """Lines as they were stored, cleaned: line_id, rec_id, source, config, shard, line_no, line."""
-    return shards.where("text is not null").select("line_id", "rec_id", "source", "config", "shard", "line_no", collapse_space(F.col("text")).alias("line"))
+    return shards.where("text is not null").select("line_id", "rec_id", "source", "config", "shard", "line_no", once(collapse_space(F.col("text"))).alias("line"))
 
 
 def usable(clean: DataFrame) -> DataFrame:
