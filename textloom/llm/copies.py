@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import hash128, letters_digits, turkish_lower
+from textloom.functions.text import hash128, letters_digits, once, turkish_lower
 from textloom.session import cut
 
 MIN_CHARS = 40
@@ -46,8 +46,8 @@ def keyed_lines(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
     """(id, k1, k2, f1, f2) of the lines that share their cheap key with another line."""
     lines = (
         df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-        .where(F.col("id").isNotNull() & F.col("text").isNotNull())
-        .withColumn("stripped", letters_digits(F.col("text")))
+        .where(F.col("id").isNotNull() & (F.length("text") >= min_chars))
+        .select("id", "text", once(letters_digits(F.col("text"))).alias("stripped"))
         .where(F.length("stripped") >= min_chars)
         .withColumn("k0", cheap_key(F.col("stripped")))
     )
