@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import word_hashes, word_string
+from textloom.functions.text import once, word_hashes, word_string
 
 #: Size of the table of word counts. It is the same for any input: 2 MB when broadcast.
 COUNT_BITS = 20
@@ -79,7 +79,7 @@ def word_lines(df: DataFrame, id_col: str, text_col: str, min_words: int) -> Dat
     """(id, text, words) of the lines with at least ``min_words`` words; words are 64-bit hashes in order."""
     lines = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
     # A line of n words has at least 2 n - 1 characters; this spares the short ones the regular expression.
-    lines = lines.where(F.length("text") >= 2 * min_words - 1).withColumn("words", F.split(word_string(F.col("text")), " "))
+    lines = lines.where(F.length("text") >= 2 * min_words - 1).select("id", "text", once(F.split(word_string(F.col("text")), " ")).alias("words"))
     return lines.where(F.size("words") >= min_words).withColumn("words", F.transform("words", lambda w: F.xxhash64(w)))
 
 
