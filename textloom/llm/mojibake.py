@@ -164,7 +164,8 @@ def restore(text: str, describer: Describer) -> tuple[str, list[str], int, int]:
                 out.append(w)
                 continue
             v = undo(w, steps)
-            out.append(v if v is not None and v != w and KNOWN.fullmatch(v) else None)
+            # A word that the chain leaves as it is doesn't end a stretch.
+            out.append(v if v is not None and (v == w or KNOWN.fullmatch(v)) else None)
         i = 0
         while i < len(words):
             if out[i] is None or out[i] == words[i]:
@@ -178,16 +179,19 @@ def restore(text: str, describer: Describer) -> tuple[str, list[str], int, int]:
             if any(odd[i : last + 1]):
                 before = "".join(parts[2 * i : 2 * last + 1])
                 after = "".join(x if k % 2 else out[i + k // 2] for k, x in enumerate(parts[2 * i : 2 * last + 1]))
-                saved = describer.length(before) - describer.length(after) - cost
-                if saved > 0:
-                    options.append((saved, name, i, last, after))
+                saved = describer.length(before) - describer.length(after)
+                if saved >= 0:
+                    options.append((saved, saved - cost, name, i, last, after))
             i = j
     taken: list[tuple[int, int, str]] = []
     chains = []
-    for _, name, i, last, after in sorted(options, key=lambda x: (-x[0], x[1], x[2])):
-        if all(last < a or b < i for a, b, _ in taken):
-            taken.append((i, last, after))
-            chains.append(name)
+    options.sort(key=lambda x: (-x[1], x[3] - x[4], x[2], x[3]))
+    for known in (False, True):
+        # A chain that the line has paid for once costs nothing for its other stretches.
+        for saved, gain, name, i, last, after in options:
+            if (gain > 0 or (known and name in chains)) and all(last < a or b < i for a, b, _ in taken):
+                taken.append((i, last, after))
+                chains.append(name)
     pieces, at = [], 0
     for i, last, after in sorted(taken):
         pieces += [*parts[2 * at : 2 * i], after]

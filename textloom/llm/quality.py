@@ -91,6 +91,7 @@ def line_statistics(df: DataFrame, record_col: str, line_col: str, text_col: str
         folded(NUMBER_LAST) & no_verb & (F.col("words") <= 8) & (F.col("chars") >= 6),
         F.col("t").rlike(LABEL) & no_verb & (F.col("words") <= 6),
         (F.col("separators") >= 3) & (F.col("separators") >= 0.25 * F.col("words")) & (F.col("verbs") < 0.1 * F.col("words")) & (F.col("function") < 0.05 * F.col("words")) & (fields < 3),
+        (count("t", r"\s[>»|·]\s") >= F.greatest(F.lit(3), 0.5 * F.col("words"))) & (fields < 3),
         (F.col("words") >= 8) & (F.size(F.array_distinct(F.split("w", " "))) < 0.6 * F.col("words")) & rare_verbs & ~garbled,
         folded(URL),
         folded(CODE) & ~garbled & (fields < 2) & (F.col("verbs") <= 1),
