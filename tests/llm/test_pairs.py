@@ -50,12 +50,12 @@ def corpus(seed, n=160, vocabulary_size=60):
     return [*rows, (n, None), (n + 1, ""), (n + 2, "  "), (n + 3, "kısa"), rows[0], (n + 4, "aynı " * 12), (n + 5, "aynı " * 12)]
 
 
-@pytest.mark.parametrize("seed, size, rare", [(1, 60, 8), (2, 12, 2), (3, 400, 8), (4, 12, 0)])
-def test_unit_pairs_lose_nothing(spark, seed, size, rare):
+@pytest.mark.parametrize("seed, size, rare, hot", [(1, 60, 8, 1000), (2, 12, 2, 1000), (3, 400, 8, 1000), (4, 12, 0, 1000), (5, 60, 2, 3), (6, 12, 0, 2), (7, 60, 0, 1)])
+def test_unit_pairs_lose_nothing(spark, seed, size, rare, hot):
     rows = corpus(seed, vocabulary_size=size)
     _, units = neardup.make_units(make(spark, rows), "line_id", "text", 8)
     units_rows = {r.unit for r in units.select("unit").collect()}
-    got = {(r.a, r.b) for r in neardup.unit_pairs(units, 0.75, rare).collect()}
+    got = {(r.a, r.b) for r in neardup.unit_pairs(units, 0.75, rare, hot).collect()}
     text = dict(rows)
     want = {(a, b) for a in units_rows for b in units_rows if a < b and share_enough(text[a], text[b], 8)}
     assert got == want and want

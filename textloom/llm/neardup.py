@@ -17,6 +17,10 @@ for every partner, so masks with it are not built; and a coordinate held by few
 lines (at most ``rare`` in the count table) is a key by itself, so that the masks
 of two are built over the frequent ones only.
 
+A bucket of more than ``HOT`` rows isn't joined. Its lines get the masks of weight 3
+over their first t + 3 places, which cover the same pairs by the same argument and
+spread them over far more buckets.
+
 Copies are collapsed first, so a group of copies of any size enters the tables as
 one row. Candidates are compared by a 64-bit parity sketch (a lower bound of the
 distance) before their words are fetched, then exactly.
@@ -28,10 +32,12 @@ words have no partner; repeated rows with one id count once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import hash128, letters_digits
@@ -43,6 +49,8 @@ from textloom.session import cut
 MIN_WORDS = 20
 SHARE = 0.75
 RARE = 8
+#: Rows of a bucket up to which all its lines are compared with one another.
+HOT = 1000
 
 ROWS = "id bigint, k1 bigint, k2 bigint, f1 bigint, f2 bigint, chars int, n int, mh bigint, feats array<int>"
 
@@ -71,42 +79,53 @@ def needed(n: np.ndarray | int, share: float) -> np.ndarray | int:
     return np.ceil(np.asarray(n) * share - 1e-9).astype(np.int64)
 
 
-def mask_keys(features: np.ndarray, n: np.ndarray, counts: np.ndarray, share: float, rare: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=256)
+def choices(size: int, weight: int) -> np.ndarray:
+    return np.array(list(combinations(range(size), weight)), np.int64).reshape(-1, weight)
+
+
+def mask_keys(features: np.ndarray, n: np.ndarray, counts: np.ndarray, share: float, rare: int, weight: int = 2) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) for every mask of every row."""
     row = np.repeat(np.arange(len(n)), n)
     held = counts[bucket_of(features)].astype(np.int64)
     order = np.lexsort((features, held, row))
     f, c, r = features[order].astype(np.uint64), held[order], row[order]
     place = np.arange(len(f)) - np.repeat(starts_of(n), n)
-    kept = (place < np.repeat(n - needed(n, share) + 2, n)) & (c > 1)
+    kept = (place < np.repeat(n - needed(n, share) + weight, n)) & (c > 1)
     alone = kept & (c <= rare)
     rows, keys = [r[alone]], [mix(f[alone])]
     both = kept & (c > rare)
     f, r = f[both], r[both]
     m = np.bincount(r, minlength=len(n))
     first = starts_of(m)
-    for size in np.unique(m[m > 1]):
+    for size in np.unique(m[m >= weight]):
         of = np.flatnonzero(m == size)
-        table = f[first[of][:, None] + np.arange(size)]
-        i, j = np.triu_indices(size, 1)
-        rows.append(np.repeat(of, len(i)))
-        keys.append(mix(mix(table[:, i].ravel()) + table[:, j].ravel() * np.uint64(0x9E3779B97F4A7C15)))
+        masks = choices(int(size), weight)
+        for part in np.array_split(of, max(1, len(of) * len(masks) // 2_000_000)):  # bounds what is held at once
+            table = f[first[part][:, None] + np.arange(size)]
+            key = np.zeros((len(part), len(masks)), np.uint64)
+            for k in range(weight):
+                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + table[:, masks[:, k]])
+            rows.append(np.repeat(part, len(masks)))
+            keys.append(key.ravel())
     return np.concatenate(rows), np.concatenate(keys).view(np.int64)
 
 
-def mask_table(units: DataFrame, counts: np.ndarray, share: float = SHARE, rare: int = RARE) -> DataFrame:
+def mask_table(units: DataFrame, counts: np.ndarray, share: float = SHARE, rare: int = RARE, weight: int = 2) -> DataFrame:
     """(key, unit, n, sketch): the hash tables of all masks, as rows. ``units`` has unit, n and feats."""
     sent = units.sparkSession.sparkContext.broadcast(counts)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            f, n = flat(b.column("feats"))
-            f = f.view(np.uint32)
-            row, key = mask_keys(f, n, sent.value, share, rare)
-            unit, sketch = b.column("unit").to_numpy()[row], parity_sketch(f, n)[row]
-            for i in range(0, len(row), 200_000):
-                at = slice(i, i + 200_000)
-                yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(unit[at]), pa.array(n[row[at]].astype(np.int32)), pa.array(sketch[at])], names=["key", "unit", "n", "sketch"])
+            for lo in range(0, b.num_rows, 2000):
+                part = b.slice(lo, 2000)
+                f, n = flat(part.column("feats"))
+                f = f.view(np.uint32)
+                row, key = mask_keys(f, n, sent.value, share, rare, weight)
+                unit, sketch = part.column("unit").to_numpy()[row], parity_sketch(f, n)[row]
+                for i in range(0, len(row), 200_000):
+                    at = slice(i, i + 200_000)
+                    yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(unit[at]), pa.array(n[row[at]].astype(np.int32)), pa.array(sketch[at])], names=["key", "unit", "n", "sketch"])
 
     return units.select("unit", "feats").mapInArrow(keys, "key bigint, unit bigint, n int, sketch bigint")
 
@@ -122,11 +141,24 @@ def within(a: str, b: str, share: float):
     return (F.least(f"{a}.n", f"{b}.n") >= least) & (apart <= F.col(f"{a}.n") + F.col(f"{b}.n") - 2 * least)
 
 
-def unit_pairs(units: DataFrame, share: float = SHARE, rare: int = RARE) -> DataFrame:
+def met_in(a: DataFrame, b: DataFrame, share: float) -> DataFrame:
+    """(a, b), a < b: units with a key in common that sizes and sketches allow."""
+    met = a.alias("a").join(b.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.unit") < F.col("b.unit")) & within("a", "b", share))
+    return met.select(F.col("a.unit").alias("a"), F.col("b.unit").alias("b")).distinct()
+
+
+def unit_pairs(units: DataFrame, share: float = SHARE, rare: int = RARE, hot: int = HOT) -> DataFrame:
     """(a, b), a < b: pairs of units that share enough words. No pair is missed."""
-    table = mask_table(units, count_table(units), share, rare)
-    met = table.alias("a").join(table.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.unit") < F.col("b.unit")) & within("a", "b", share))
-    met = met.select(F.col("a.unit").alias("a"), F.col("b.unit").alias("b")).distinct()
+    counts = count_table(units)
+    # The count uses the sorting by key that the join needs anyway; single rows go before the join.
+    table = mask_table(units, counts, share, rare).withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    cold = table.where(F.col("held").between(2, hot))
+    crowded = table.where(F.col("held") > hot).select(F.col("unit").alias("a"), F.lit(None).cast("bigint").alias("b")).distinct()
+    met = cut(met_in(cold, cold, share).unionByName(crowded), "met")
+    crowded, met = met.where("b is null").select(F.col("a").alias("unit")), met.where("b is not null")
+    if crowded.limit(1).count():
+        deep = mask_table(units.join(crowded, "unit", "left_semi"), counts, share, rare, 3)
+        met = met.unionByName(met_in(deep, deep, share)).distinct()
     side = lambda x: units.select(F.col("unit").alias(x), F.col("n").alias(f"n{x}"), F.col("feats").alias(f"feats{x}"))
     both = met.join(side("a"), "a").join(side("b"), "b")
     return both.where(F.size(F.array_intersect("featsa", "featsb")) >= shared_needed("na", "nb", share)).select("a", "b")
