@@ -153,8 +153,11 @@ def unit_pairs(units: DataFrame, share: float = SHARE, rare: int = RARE, hot: in
     # The count uses the sorting by key that the join needs anyway; single rows go before the join.
     table = mask_table(units, counts, share, rare).withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("key")))
     cold = table.where(F.col("held").between(2, hot))
-    crowded = table.where(F.col("held") > hot).select(F.col("unit").alias("a"), F.lit(None).cast("bigint").alias("b")).distinct()
-    met = cut(met_in(cold, cold, share).unionByName(crowded), "met")
+    # All columns are kept, so that this reads the same shuffle as the join.
+    crowded = table.where(F.col("held") > hot).groupBy("unit").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch"))
+    crowded = crowded.select(F.col("unit").alias("a"), F.lit(None).cast("bigint").alias("b"), "n", "sketch")
+    met = met_in(cold, cold, share).withColumns({"n": F.lit(0), "sketch": F.lit(0).cast("bigint")})
+    met = cut(met.unionByName(crowded), "met").select("a", "b")
     crowded, met = met.where("b is null").select(F.col("a").alias("unit")), met.where("b is not null")
     if crowded.limit(1).count():
         deep = mask_table(units.join(crowded, "unit", "left_semi"), counts, share, rare, 3)
