@@ -151,7 +151,8 @@ def unit_pairs(units: DataFrame, share: float = SHARE, rare: int = RARE, hot: in
     """(a, b), a < b: pairs of units that share enough words. No pair is missed."""
     counts = count_table(units)
     # The count uses the sorting by key that the join needs anyway; single rows go before the join.
-    table = mask_table(units, counts, share, rare).withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    # The join needs keys that aren't null; said here, all that reads the table reads one shuffle.
+    table = mask_table(units, counts, share, rare).where("key is not null").withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("key")))
     cold = table.where(F.col("held").between(2, hot))
     # All columns are kept, so that this reads the same shuffle as the join.
     crowded = table.where(F.col("held") > hot).groupBy("unit").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch"))
