@@ -166,10 +166,10 @@ def test_overlap_report(spark):
     assert got == {("dev", None): (1, 1), ("dev", "web"): (1, 1), ("holdout", "web"): (1, 0)}
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_overlap_of_lines_changed_in_place(spark, seed):
+@pytest.mark.parametrize("seed, size, crowded", [(0, 300, 200), (1, 300, 2), (2, 40, 3)])
+def test_overlap_of_lines_changed_in_place(spark, seed, size, crowded):
     r = random.Random(seed)
-    vocabulary = [f"söz{k}" for k in range(300)]
+    vocabulary = [f"söz{k}" for k in range(size)]
     held = [(i, [r.choice(vocabulary) for _ in range(r.randint(20, 40))]) for i in range(40)]
     train = []
     for i, w in held:
@@ -178,6 +178,6 @@ def test_overlap_of_lines_changed_in_place(spark, seed):
             w[k] = r.choice(vocabulary)
         train.append((1000 + i, w))
     rows = lambda x: [(i, " ".join(w)) for i, w in x]
-    got = {(x.holdout_id, x.train_id) for x in overlap.overlaps(make(spark, rows(held)), make(spark, rows(train))).collect()}
+    got = {(x.holdout_id, x.train_id) for x in overlap.overlaps(make(spark, rows(held)), make(spark, rows(train)), crowded=crowded).collect()}
     want = {(i, j) for i, a in held for j, b in train if share_enough(" ".join(a), " ".join(b), 20)}
     assert got == want

@@ -31,6 +31,8 @@ from textloom.session import cut
 
 GRAM = 2
 WINDOW = 2
+#: Rows up to which a two-word hash is a fingerprint by itself.
+CROWDED = 200
 SCHEMA = "id bigint, n int, sketch bigint, whole bigint, whole2 bigint, seq array<int>"
 
 
@@ -63,34 +65,39 @@ def grams(seq: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def winnow(gram: np.ndarray, n: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Places selected: the least hash of every WINDOW in a row, rare hashes first."""
+def winnow(gram: np.ndarray, n: np.ndarray, counts: np.ndarray, crowded: int = CROWDED) -> tuple[np.ndarray, np.ndarray]:
+    """(place, key) selected: the least hash of every WINDOW in a row, rare hashes first.
+
+    Where even the least is held by more than ``crowded`` rows, all hashes of the
+    window together are the key: lines that share the window's words share it too.
+    """
     held = counts[bucket_of(gram)].astype(np.uint64)
     order = (held << np.uint64(32)) + gram
-    order[gram == 0] = np.uint64(0xFFFFFFFFFFFFFFFF)
-    chosen = np.zeros(len(gram), bool)
     place = np.arange(len(gram))
     end = np.repeat(starts_of(n) + n - GRAM + 1, n)
-    lo = place.copy()
+    lo, whole_key = place.copy(), mix(gram.astype(np.uint64))
     for k in range(1, WINDOW):
         other = np.minimum(place + k, len(gram) - 1)
         lo = np.where((place + k < end) & (order[other] < order[lo]), other, lo)
-    whole = (place + WINDOW <= end) & (gram != 0)
-    chosen[lo[whole]] = True
-    return np.flatnonzero(chosen & (held > 1))
+        whole_key = mix(whole_key + gram[other])
+    windows = place[place + WINDOW <= end]
+    many = held[lo[windows]] > crowded
+    single = np.unique(lo[windows[~many]])
+    single = single[held[single] > 1]
+    wide = windows[many]
+    return np.concatenate([single, wide]), np.concatenate([gram[single].astype(np.int64), whole_key[wide].view(np.int64) | np.int64(-(1 << 62))])
 
 
-def fingerprints(units: DataFrame, counts: np.ndarray) -> DataFrame:
+def fingerprints(units: DataFrame, counts: np.ndarray, crowded: int = CROWDED) -> DataFrame:
     """(key, unit, place, n, sketch) of the selected hashes that occur more than once."""
     sent = units.sparkSession.sparkContext.broadcast(counts)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seq, n = flat(b.column("seq"))
-            gram = grams(seq, n)
-            at = winnow(gram, n, sent.value)
+            at, key = winnow(grams(seq, n), n, sent.value, crowded)
             row = np.repeat(np.arange(len(n)), n)[at]
-            cols = [gram[at].astype(np.int64), b.column("unit").to_numpy()[row], (at - starts_of(n)[row]).astype(np.int32), n[row].astype(np.int32), b.column("sketch").to_numpy()[row]]
+            cols = [key, b.column("unit").to_numpy()[row], (at - starts_of(n)[row]).astype(np.int32), n[row].astype(np.int32), b.column("sketch").to_numpy()[row]]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), names=["key", "unit", "place", "n", "sketch"])
 
     return units.select("unit", "sketch", "seq").mapInArrow(rows, "key bigint, unit bigint, place int, n int, sketch bigint")
@@ -148,7 +155,7 @@ def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("h"), b.column("t"), b.column("shared"), pa.array(share, pa.float64())], names=["h", "t", "shared", "coverage"])
 
 
-def overlaps(holdout: DataFrame, train: DataFrame, id_col: str = "line_id", text_col: str = "text", min_words: int = MIN_WORDS, share: float = SHARE) -> DataFrame:
+def overlaps(holdout: DataFrame, train: DataFrame, id_col: str = "line_id", text_col: str = "text", min_words: int = MIN_WORDS, share: float = SHARE, crowded: int = CROWDED) -> DataFrame:
     """(holdout_id, train_id, shared, coverage) of all pairs that share at least ``share`` of the longer line's words."""
     tagged = sequences(holdout, id_col, text_col, min_words).withColumn("side", F.lit("h")).unionByName(sequences(train, id_col, text_col, min_words).withColumn("side", F.lit("t")))
     rows = cut(tagged, "sequences")
@@ -159,7 +166,7 @@ def overlaps(holdout: DataFrame, train: DataFrame, id_col: str = "line_id", text
         return g[g != 0]
 
     counts = count_table(units, "seq", only_grams)
-    prints = {s: fingerprints(units.where(F.col("side") == s), counts).alias(s) for s in "ht"}
+    prints = {s: fingerprints(units.where(F.col("side") == s), counts, crowded).alias(s) for s in "ht"}
     met = prints["h"].join(prints["t"], (F.col("h.key") == F.col("t.key")) & within("h", "t", share))
     pairs = met.groupBy(F.col("h.unit").alias("h"), F.col("t.unit").alias("t")).agg(F.collect_set(F.struct(F.col("h.place").alias("h"), F.col("t.place").alias("t"))).alias("seeds"))
     for s in "ht":
