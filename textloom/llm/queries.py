@@ -116,8 +116,38 @@ used as (select *, chars * max_repeat < target as short, least(cast(chars * max_
 """
 
 
+# Lower case by Turkish rules, letters and digits, words; fields are cut before each label by a mark put in front of it.
+LOWER = "lower(replace(replace(text, 'İ', 'i'), 'I', 'ı'))"
+SPACE = r"[\s\x0b\p{Z}\p{Cf}]"
+LABEL = r"\p{L}[\p{L}\p{Z}\p{Cf}\s\x0b]{0,24}:"
+KEYS = f"""
+with lines as (select line_id, regexp_replace({LOWER}, '[^\\p{{L}}\\p{{N}}]+', '', 'g') as letters,
+  case when regexp_matches(text, '(?s)^{SPACE}*{LABEL}.*[•|/;,·]{SPACE}*{LABEL}') then string_split(regexp_replace({LOWER}, '{SPACE}*[•|/;,·]{SPACE}*({LABEL})', chr(1) || '\\1', 'g'), chr(1)) end as parts
+  from shards where text is not null and line_id is not null),
+fields as (select line_id, letters, array_to_string(list_sort(list_filter(list_transform(parts, lambda x : regexp_replace(x, '[^\\p{{L}}\\p{{N}}]+', '', 'g')), lambda x : x <> '')), chr(31)) as f from lines where length(letters) >= 40),
+of_letters as (select letters, min(f) as f from fields group by 1),
+keys as (select distinct line_id, coalesce(o.f, x.letters) as key from fields x join of_letters o on o.letters = x.letters),
+classes as (select key, min(line_id) as first_line_id, count(*) as n from keys group by 1 having count(*) > 1)
+"""
+
+
+def words_sql(table: str) -> str:
+    """(line_id, n, w, k): the words of lines with at least 20 of them, each with how often it has come before."""
+    split = f"string_split(trim(regexp_replace({LOWER}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
+    return f"""(select line_id, n, w, row_number() over (partition by line_id, w) as k from
+  (select line_id, len(ws) as n, unnest(ws) as w from (select line_id, {split} as ws from (select distinct line_id, text from {table} where text is not null)) where len(ws) >= 20))"""
+
+
+SHARED = """select a.line_id as a, b.line_id as b from {a} a join {b} b on a.w = b.w and a.k = b.k {different} group by a.line_id, b.line_id, a.n, b.n having count(*) >= 0.75 * greatest(a.n, b.n)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p2_found": KEYS + f", words as {words_sql('shards')}, pairs as ({SHARED.format(a='words', b='words', different='and a.line_id < b.line_id')})"
+        " select a as line_id_a, b as line_id_b from pairs left join keys x on x.line_id = a left join keys y on y.line_id = b where x.key is null or y.key is null or x.key <> y.key",
+        "p5_found": KEYS + "select first_line_id, line_id from keys join classes on classes.key = keys.key where line_id > first_line_id",
+        "p5_copies": KEYS + "select first_line_id as line_id, n as n_copies from classes",
+        "p6_found": f"with h as {words_sql('holdout')}, t as {words_sql('train')}, pairs as ({SHARED.format(a='h', b='t', different='')}) select a as holdout_line_id, b as train_line_id from pairs",
         "p4_found": PLAN + "select run_id, source from used where short",
         "p4_report": PLAN + "select run_id, source, quota, chars, round(target, 3) as target, round(used, 3) as used, round(used / sum(used) over (partition by run_id), 9) as share, short from used",
     }
