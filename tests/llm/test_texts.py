@@ -72,11 +72,11 @@ NOT_PROSE = {
     1: ["• Tiyatrolar", "• Sahneler", "• perdeler Konak"], 2: ["Ankara\t12.5\t7\t88", "Bursa\t3.1\t9\t14", "İzmir\t4\t4\t2"], 3: ["Anasayfa > Künye > İletişim > Yardım > Sepetim"],
     4: ["tarif yemek limon tarif kek kremalar tarif sofra limon kek tarif mutfak"], 5: ["def topla(a, b):", "    c = [a[i] for i in range(9)]", "    return c"],
     6: ["2015-08-21 02:45:38,622 WARN isci-44: id=9a8fdacb0648940a"] * 3, 7: ["https://ornek.example/a/b-1", "https://ornek.example/c"], 8: ["zsvcgpjtqswfjqqhlshxzkrmhpf zksncwjjj"],
-    9: ["Saatler", "Konak 07:01 19:03 13:05", "Bornova 09:22 16:26 07:02"], 10: ["Enzim: 61.4", "Dalga: Göl", "Uydu: -"],
+    11: ["idhdgkjajf şgkssikgdi fgad shşhhfjf isjhafkij jişfdşl jsh"], 12: ["Tekolalı insan 1251,99 TL", "Erganedik neden 2394,22 TL"], 9: ["Saatler", "Konak 07:01 19:03 13:05", "Bornova 09:22 16:26 07:02"], 10: ["Enzim: 61.4", "Dalga: Göl", "Uydu: -"],
 }
 IS_PROSE = {
     21: PROSE, 22: ["beğenmedim"], 23: ["5 yıldız"], 24: ["up"], 25: ["Ürün: Kavık şurup 250 • Marka: Iğdır • Puan: 4 • Yorum: ben bunu çok beğendim, kullanıyorum"], 26: ["Adasız köprüde tekneler durdu", "Göllü tatilde harita aldılar"],
-    27: [PROSE[0], "• Tiyatrolar", PROSE[1]], 28: [p.upper() for p in PROSE[:2]], 29: [garble(PROSE[0], [("cp1252", "utf-8")])], 30: [None, PROSE[2], ""],
+    27: [PROSE[0], "• Tiyatrolar", PROSE[1]], 28: [p.upper() for p in PROSE[:2]], 31: [PROSE[1][:-1] + ";"], 29: [garble(PROSE[0], [("cp1252", "utf-8")])], 30: [None, PROSE[2], ""],
 }
 
 

@@ -30,10 +30,11 @@ LAGS = 2
 VERB_ENDINGS = (
     r"yor(?:um|uz|sun|lar|du|dum|duk|dular|mus)?|[dt][iu](?:m|k|n|niz|lar|ler)?|m[iu]s(?:t[iu](?:m|k|lar|ler)?|lar|ler|im|iz|t[iu]r)?"
     r"|[ae]c[ae](?:k|kti|klar|kler|gim|giz)|makta(?:dir|ydi)?|mekte(?:dir|ydi)?|s[ae](?:m|k|n|lar|ler)|[dt][iu]r(?:lar|ler)?"
+    r"|m[ae]z(?:lar|ler|sin|siniz)?|[ae]bil(?:ir|irler|irsiniz|irsin)|[iu]n[iu]z"
 )
 # Words that make a sentence without a verb, and other function words.
 PREDICATES = "yok var lazim degil mi"
-FUNCTION = "ve ile bir bu da de icin ama cok gibi daha kadar gore once sonra her en o ne ki ya ancak oysa ben sen biz hocam gayet hic kesinlikle bence yani hem su sey boyle olarak olan diye"
+FUNCTION = "ve ile bir bu da de icin ama cok gibi daha kadar gore once sonra her en o ne ki ya ancak oysa ben sen biz hocam gayet hic kesinlikle bence yani hem su sey boyle olarak olan diye olmadan sadece baska yer alan siz"
 VERB = rf"(?<![^ ])(?:[^ ]{{2,}}(?:{VERB_ENDINGS})|{PREDICATES.replace(' ', '|')})(?![^ ])"
 FUNCTION_WORD = rf"(?<![^ ])(?:{FUNCTION.replace(' ', '|')}|{PREDICATES.replace(' ', '|')})(?![^ ])"
 
@@ -44,7 +45,7 @@ FIELD = r"(?:^|[•|/;·])[\s\p{Z}]*\p{L}[\p{L}\p{Z}]{0,24}:"
 SEPARATOR = r"\s[>»|/·•–—-]+\s|\t|\s{2,}|#\p{L}"
 NUMBER_LAST = r"\d[\d.,:]*\s*(?:tl|lira|usd|eur|kg|gr|adet|km|%|₺|€|\$)?\s*$"
 URL = r"^\s*(?:https?://|www\.)\S+\s*$"
-CODE = r"^\s*(?:def |class |return\b|import |from \w+ import|if .*:\s*(?:return|$)|for .*:\s*$|else:|elif |while .*:|#include|var |let |const |function\b|public |[a-z_][\w.\[\]]*\s*[-+*]?=\s*\S)|[{};]\s*$|</?\w+[^>]*>"
+CODE = r"^\s*(?:def |class |return\b|import |from \w+ import|if .*:\s*(?:return|$)|for .*:\s*$|else:|elif |while .*:|#include|var |let |const |function\b|public |[a-z_][\w.\[\]]*\s*[-+*]?=\s*\S)|[=(].*;\s*$|[{}]\s*$|</?\w+[^>]*>"
 MIXED = r"(?<![^ ])(?=[^ ]*\d)(?=[^ ]*[a-z])[^ ]{3,}(?![^ ])"
 CONSONANTS = r"[bcdfghjklmnpqrstvwxyz]{5,}"
 GARBLED = "[\\x80-\\x9f�ÃÄÅãåþðýÞÐÝ├┼─╝Ââ][\\S]|[Ѐ-ӿ]"
@@ -88,7 +89,7 @@ def line_statistics(df: DataFrame, record_col: str, line_col: str, text_col: str
     listed = [
         (F.col("symbols") + F.col("digits") > F.col("letters")) & (F.col("chars") >= 8),
         folded(BULLET) & no_verb & (F.col("words") <= 8),
-        folded(NUMBER_LAST) & no_verb & (F.col("words") <= 8) & (F.col("chars") >= 6),
+        folded(NUMBER_LAST) & (no_verb & (F.col("words") <= 8) | (F.col("words") <= 6) & (F.col("verbs") <= 1)) & (F.col("chars") >= 6),
         F.col("t").rlike(LABEL) & no_verb & (F.col("words") <= 6),
         (F.col("separators") >= 3) & (F.col("separators") >= 0.25 * F.col("words")) & (F.col("verbs") < 0.1 * F.col("words")) & (F.col("function") < 0.05 * F.col("words")) & (fields < 3),
         (count("t", r"\s[>»|·]\s") >= F.greatest(F.lit(3), 0.5 * F.col("words"))) & (fields < 3),
@@ -97,6 +98,7 @@ def line_statistics(df: DataFrame, record_col: str, line_col: str, text_col: str
         folded(CODE) & ~garbled & (fields < 2) & (F.col("verbs") <= 1),
         (count("w", MIXED) >= 0.4 * F.col("words")) & (F.col("chars") >= 10) & ~garbled,
         (count("w", CONSONANTS) >= 0.34 * F.col("words")) & (F.col("letters") >= 12) & ~garbled,
+        (F.length("f") - F.length(F.translate("f", "aeiou", "")) < 0.28 * F.col("letters")) & (F.col("letters") >= 20) & ~garbled,
         (F.length("w") > 19 * F.col("words")) & (F.col("letters") >= 15),
         (F.col("words") >= 6) & rare_verbs & (F.col("function") < 0.05 * F.col("words")) & ~garbled & ~F.col("closed") & (fields < 2),
     ]
