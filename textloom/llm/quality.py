@@ -35,7 +35,8 @@ VERB_ENDINGS = (
 # Words that make a sentence without a verb, and other function words.
 PREDICATES = "yok var lazim degil mi"
 FUNCTION = "ve ile bir bu da de icin ama cok gibi daha kadar gore once sonra her en o ne ki ya ancak oysa ben sen biz hocam gayet hic kesinlikle bence yani hem su sey boyle olarak olan diye olmadan sadece baska yer alan siz"
-VERB = rf"(?<![^ ])(?:[^ ]{{2,}}(?:{VERB_ENDINGS})|{PREDICATES.replace(' ', '|')})(?![^ ])"
+# An ending with two letters of the same word before it; looking back is cheaper than going on from each word's start.
+VERB = rf"(?:(?<=[^ ]{{2}})(?:{VERB_ENDINGS})|(?<![^ ])(?:{PREDICATES.replace(' ', '|')}))(?![^ ])"
 FUNCTION_WORD = rf"(?<![^ ])(?:{FUNCTION.replace(' ', '|')}|{PREDICATES.replace(' ', '|')})(?![^ ])"
 
 CLOSED = r"[.!?…:;)\"”’*]\s*$"
@@ -96,7 +97,7 @@ def line_statistics(df: DataFrame, record_col: str, line_col: str, text_col: str
         (F.col("words") >= 8) & (F.size(F.array_distinct(F.split("w", " "))) < 0.6 * F.col("words")) & rare_verbs & ~garbled,
         folded(URL),
         folded(CODE) & ~garbled & (fields < 2) & (F.col("verbs") <= 1),
-        (count("w", MIXED) >= 0.4 * F.col("words")) & (F.col("chars") >= 10) & ~garbled,
+        (F.col("digits") > 0) & (count("w", MIXED) >= 0.4 * F.col("words")) & (F.col("chars") >= 10) & ~garbled,
         (count("w", CONSONANTS) >= 0.34 * F.col("words")) & (F.col("letters") >= 12) & ~garbled,
         (F.length("f") - F.length(F.translate("f", "aeiou", "")) < 0.28 * F.col("letters")) & (F.col("letters") >= 20) & ~garbled,
         (F.length("w") > 19 * F.col("words")) & (F.col("letters") >= 15),
