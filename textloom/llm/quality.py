@@ -35,8 +35,7 @@ VERB_ENDINGS = (
 # Words that make a sentence without a verb, and other function words.
 PREDICATES = "yok var lazim degil mi"
 FUNCTION = "ve ile bir bu da de icin ama cok gibi daha kadar gore once sonra her en o ne ki ya ancak oysa ben sen biz hocam gayet hic kesinlikle bence yani hem su sey boyle olarak olan diye olmadan sadece baska yer alan siz"
-# An ending with two letters of the same word before it; looking back is cheaper than going on from each word's start.
-VERB = rf"(?:(?<=[^ ]{{2}})(?:{VERB_ENDINGS})|(?<![^ ])(?:{PREDICATES.replace(' ', '|')}))(?![^ ])"
+VERB = rf"(?<![^ ])(?:[^ ]{{2,}}(?:{VERB_ENDINGS})|{PREDICATES.replace(' ', '|')})(?![^ ])"
 FUNCTION_WORD = rf"(?<![^ ])(?:{FUNCTION.replace(' ', '|')}|{PREDICATES.replace(' ', '|')})(?![^ ])"
 
 CLOSED = r"[.!?…:;)\"”’*]\s*$"
@@ -82,24 +81,25 @@ def line_statistics(df: DataFrame, record_col: str, line_col: str, text_col: str
         "signature": F.regexp_replace(F.regexp_replace("t", r"\.{4,}", "…"), r"[^\t;|:»>/…#,]+", ""),
         "text": F.col("chars") > 0,
     })
+    x = x.withColumns({"fields": F.when(F.contains("t", F.lit(":")), count("t", FIELD)).otherwise(0), "garbled": F.col("t").rlike(GARBLED)})
     rare_verbs = F.col("verbs") < 0.06 * F.col("words")
     no_verb = F.col("verbs") == 0
-    fields = count("t", FIELD)
-    garbled = F.col("t").rlike(GARBLED)
+    fields, garbled = F.col("fields"), F.col("garbled")
     folded = lambda p: F.col("f").rlike(p)
+    # In each rule what is cheap and seldom true stands first; the rest is then not worked out.
     listed = [
-        (F.col("symbols") + F.col("digits") > F.col("letters")) & (F.col("chars") >= 8),
-        folded(BULLET) & no_verb & (F.col("words") <= 8),
-        folded(NUMBER_LAST) & (no_verb & (F.col("words") <= 8) | (F.col("words") <= 6) & (F.col("verbs") <= 1)) & (F.col("chars") >= 6),
-        F.col("t").rlike(LABEL) & no_verb & (F.col("words") <= 6),
+        (F.col("chars") >= 8) & (F.col("symbols") + F.col("digits") > F.col("letters")),
+        no_verb & (F.col("words") <= 8) & folded(BULLET),
+        (F.col("digits") > 0) & (F.col("chars") >= 6) & (no_verb & (F.col("words") <= 8) | (F.col("words") <= 6) & (F.col("verbs") <= 1)) & folded(NUMBER_LAST),
+        no_verb & (F.col("words") <= 6) & F.col("t").rlike(LABEL),
         (F.col("separators") >= 3) & (F.col("separators") >= 0.25 * F.col("words")) & (F.col("verbs") < 0.1 * F.col("words")) & (F.col("function") < 0.05 * F.col("words")) & (fields < 3),
-        (count("t", r"\s[>»|·]\s") >= F.greatest(F.lit(3), 0.5 * F.col("words"))) & (fields < 3),
-        (F.col("words") >= 8) & (F.size(F.array_distinct(F.split("w", " "))) < 0.6 * F.col("words")) & rare_verbs & ~garbled,
-        folded(URL),
-        folded(CODE) & ~garbled & (fields < 2) & (F.col("verbs") <= 1),
-        (F.col("digits") > 0) & (count("w", MIXED) >= 0.4 * F.col("words")) & (F.col("chars") >= 10) & ~garbled,
-        (count("w", CONSONANTS) >= 0.34 * F.col("words")) & (F.col("letters") >= 12) & ~garbled,
-        (F.length("f") - F.length(F.translate("f", "aeiou", "")) < 0.28 * F.col("letters")) & (F.col("letters") >= 20) & ~garbled,
+        (F.col("separators") >= 3) & (fields < 3) & (count("t", r"\s[>»|·]\s") >= F.greatest(F.lit(3), 0.5 * F.col("words"))),
+        (F.col("words") >= 8) & rare_verbs & ~garbled & (F.size(F.array_distinct(F.split("w", " "))) < 0.6 * F.col("words")),
+        F.col("f").contains("://") & folded(URL) | F.col("f").contains("www.") & folded(URL),
+        (F.col("verbs") <= 1) & (fields < 2) & ~garbled & folded(CODE),
+        (F.col("digits") > 0) & (F.col("chars") >= 10) & ~garbled & (count("w", MIXED) >= 0.4 * F.col("words")),
+        (F.col("verbs") <= 0.2 * F.col("words")) & (F.col("letters") >= 12) & ~garbled & (count("w", CONSONANTS) >= 0.34 * F.col("words")),
+        (F.col("verbs") <= 0.2 * F.col("words")) & (F.col("letters") >= 20) & ~garbled & (F.length("f") - F.length(F.translate("f", "aeiou", "")) < 0.28 * F.col("letters")),
         (F.length("w") > 19 * F.col("words")) & (F.col("letters") >= 15),
         (F.col("words") >= 6) & rare_verbs & (F.col("function") < 0.05 * F.col("words")) & ~garbled & ~F.col("closed") & (fields < 2),
     ]
