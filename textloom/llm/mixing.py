@@ -59,7 +59,9 @@ def collected(state: DataFrame) -> DataFrame:
 def plan(runs: DataFrame, schedule: DataFrame, state: DataFrame) -> DataFrame:
     """One row for each run and source of the schedule: what is wanted, what there is, what is used."""
     demand = piece_areas(schedule).groupBy("source").agg(F.sum("area").alias("weight"))
-    wanted = runs.select("run_id", "total_chars", "max_repeat").distinct().crossJoin(F.broadcast(demand))  # runs times a registry of a few sources
+    # The registry, a few sources given by hand, goes to every run as one row holding an array.
+    registry = demand.agg(F.sort_array(F.collect_list(F.struct("source", "weight"))).alias("registry"))
+    wanted = runs.select("run_id", "total_chars", "max_repeat").distinct().crossJoin(F.broadcast(registry)).select("run_id", "total_chars", "max_repeat", F.inline("registry"))
     got = collected(state)
     x = wanted.withColumn("key", name_key(F.col("source"))).join(got, ["run_id", "key"], "left").withColumn("chars", F.coalesce("chars", F.lit(0)))
     x = x.withColumn("target", F.col("weight") * F.col("total_chars")).withColumn("most", F.col("chars") * F.col("max_repeat"))
