@@ -93,6 +93,21 @@ def test_records(spark, start):
     assert quality.found(df.where("rec_id < 0")).count() == 0
 
 
+LAID_OUT = {
+    1: ["Bölümler", "    Giriş", "    Yöntem", "    Sonuç"], 2: ["Ad", "Kuzey yakası belediye sanat merkezi", "Yer", "Güney yakası eski tren garı", "Yön", "Deniz kıyısı küçük balıkçı limanı"],
+    3: ["==7==", "*******", "~~ ~~~~", "+-+-+-"],
+}
+NOT_LAID_OUT = {11: ["Bölümler", "Giriş", "Yöntem", "Sonuç"], 12: ["    " + p for p in PROSE], 13: ["+1", ":)))", "10/10"], 14: ["Güzel.", "Kuzey yakası belediye sanat merkezi.", "Hoş.", "Güney yakası eski tren garı.", "İyi.", "Deniz kıyısı küçük balıkçı limanı."]}
+
+
+@pytest.mark.parametrize("start", [1, 62])
+def test_layout_alone_decides(spark, start):
+    """Neither the lines by themselves nor their delimiters tell: indentation, lengths in turn, and signs do."""
+    rows = quality.record_statistics(lines_of(spark, LAID_OUT | NOT_LAID_OUT, start)).collect()
+    assert all(r.listed == r.aligned == 0 for r in rows if r.rec in LAID_OUT)
+    assert {r.rec for r in rows if not r.prose} == set(LAID_OUT)
+
+
 def test_pairs_across_block_borders(spark):
     r = random.Random(4)
     texts = ["a" * r.randint(1, 30) + r.choice(["", ";b", ";b;c"]) for _ in range(300)]

@@ -147,11 +147,19 @@ def record_statistics(df: DataFrame, record_col: str = "rec_id", line_col: str =
         "aligned_ratio": ratio("aligned", "pairs1"), "indent_ratio": ratio("indented", "pairs1"),
         "length_spread": F.when(mean > 0, F.sqrt(F.greatest(variance, F.lit(0.0))) / mean), "autocorrelation1": lag(1), "autocorrelation2": lag(2),
     })
-    # Lines that look like neither count as list entries where there are several of them, closely alike in length, or aligned.
+    known = lambda c: F.coalesce(c, F.lit(0.0))
+    aligned = known("aligned_ratio") >= 0.5
+    # Indentation that comes back, or long and short lines in turn, where hardly any line is closed like a sentence or has a verb.
+    unwritten = (F.col("pairs1") >= 2) & (known("closed_ratio") < 0.2) & (known("verb_ratio") < 0.05)
+    indented = unwritten & (known("indent_ratio") >= 0.4)
+    in_turn = unwritten & (F.col("pairs2") >= 2) & (F.col("length_spread") >= 0.3) & (known("autocorrelation1") <= -0.3) & (known("autocorrelation2") >= 0.3)
+    signs = (F.col("text") >= 3) & (F.col("chars") >= 20) & (F.col("verbs") == 0) & (known("symbol_ratio") + known("digit_ratio") > 0.5)
+    # Lines that look like neither count as list entries where there are several of them, closely alike in length, or laid out as above.
     vague = F.col("text") - F.col("listed") - F.col("plain")
-    alike = (vague >= 3) & (F.col("plain") <= 0.2 * F.col("text")) & (F.col("length_spread") < 0.6) & ((F.col("listed") > 0) | (F.coalesce("aligned_ratio", F.lit(0.0)) >= 0.5) | (vague >= 5))
+    alike = (F.col("length_spread") < 0.6) & ((F.col("listed") > 0) | aligned | (vague >= 5)) | indented | in_turn | signs
+    alike = (vague >= 3) & (F.col("plain") <= 0.2 * F.col("text")) & alike
     wordless = (F.col("listed") >= F.greatest("plain", F.lit(1))) & (F.col("verb_ratio") < 0.035) & (F.col("common_ratio") < 0.03)
-    marked = F.col("listed") + F.when(alike, vague).otherwise(F.lit(0)) + F.when((F.coalesce("aligned_ratio", F.lit(0.0)) >= 0.5) & (F.col("pairs1") >= 2) & (F.col("verb_ratio") < 0.05) | wordless, F.col("plain")).otherwise(F.lit(0))
+    marked = F.col("listed") + F.when(alike, vague).otherwise(F.lit(0)) + F.when(aligned & (F.col("pairs1") >= 2) & (F.col("verb_ratio") < 0.05) | indented | wordless, F.col("plain")).otherwise(F.lit(0))
     r = r.withColumn("marked", marked)
     return r.withColumn("prose", F.when(F.col("text") > 0, ~((F.col("marked") > 0) & (F.col("marked") >= 0.6 * (F.col("marked") + F.col("plain"))))))
 
