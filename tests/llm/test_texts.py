@@ -261,6 +261,24 @@ def test_leaked_passages(spark):
     assert leak.matches(items.where("item_id < 0"), df).count() == 0 and leak.matches(items, df.where("doc_id < 0")).count() == 0
 
 
+def test_half_with_one_anchor():
+    """Word 3 serves every window of the first half, so nothing agrees with it in origin."""
+    item = [f"kelime{k}x" for k in range(12)]
+    often = {k: 9 for k in range(12)} | {3: 0, 6: 1, 9: 1}
+    filler = " ".join(f"{item[k]} ara ara ara ara ara" for k, n in often.items() for _ in range(n))
+    items = leak.Items([(1, " ".join(item))])
+    leaked = " ".join(["ön", *item[:6], *["yabancı"] * 10, *item[6:], "son"])
+    assert leak.search(np.array([5, 6]), [leaked, filler], items) == [(1, 5, 12, "proximity")]
+    assert leak.search(np.array([6]), [" ".join([*item[:6], *["yabancı"] * 99, filler])], items) == []
+
+
+def test_changed_words_leave_the_window_to_the_others():
+    """The changed words stand nowhere else; they must not win every window."""
+    item = [f"kelime{k}x" for k in range(14)]
+    leaked = " ".join("başka" if k in (3, 7, 11) else w for k, w in enumerate(item))
+    assert leak.search(np.array([5]), [leaked], leak.Items([(1, " ".join(item))])) == [(1, 5, 14, "proximity")]
+
+
 def test_diacritics_and_case_are_ignored():
     assert leak.plain_words("ÇAĞRI Işık İğne naïve Crème!") == "cagri isik igne naive creme".split()
 

@@ -7,7 +7,8 @@ once, so postings never move between executors. In every few neighbouring words
 of an item the term rarest in the segment is taken, and its postings are brought
 to a common origin by subtracting the item's offset; postings of one document
 that agree in origin (up to the words that single additions shift) are
-intersected into candidates. Candidates are then compared word by word.
+intersected into candidates, and so is a posting that stands alone but has enough
+of the item's words around it. Candidates are then compared word by word.
 
 A passage counts with at least ``min_words`` item words in a row. Letter case,
 diacritics, punctuation and spacing are ignored, single changed or added words
@@ -39,6 +40,9 @@ ANCHOR_WINDOW = 4
 #: How far added words may shift the origin of a passage.
 SHIFT = 3
 BREAK_WORDS = 30
+#: The least part of a broken passage has so many words, and they lie within REACH words of each other, as single ones may differ.
+LEAST_PART = 4
+REACH = 2 * (LEAST_PART - 1)
 BLOCK = 2000
 
 # Letters with diacritics in Turkish text and their plain forms.
@@ -81,8 +85,10 @@ class Items:
         n = len(self.flat)
         if not n:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        weight = held[self.flat].astype(np.int64) * (n + 1) + np.arange(n)
-        window = np.lib.stride_tricks.sliding_window_view(np.append(weight, np.full(ANCHOR_WINDOW - 1, np.iinfo(np.int64).max)), ANCHOR_WINDOW)
+        most = np.iinfo(np.int64).max
+        # A word that the segment doesn't hold leaves the window to the others.
+        weight = np.where(held[self.flat] > 0, held[self.flat].astype(np.int64) * (n + 1) + np.arange(n), most)
+        window = np.lib.stride_tricks.sliding_window_view(np.append(weight, np.full(ANCHOR_WINDOW - 1, most)), ANCHOR_WINDOW)
         whole = np.arange(n) + ANCHOR_WINDOW <= self.first[self.item + 1]
         at = np.unique(np.arange(n)[whole] + window[whole].argmin(1))
         at = at[held[self.flat[at]] > 0]
@@ -116,8 +122,21 @@ class Segment:
         return which, self.positions[self.start[terms][which] + place]
 
 
+def surrounded(items: Items, seg: Segment, at: np.ndarray, item: np.ndarray, position: np.ndarray) -> np.ndarray:
+    """Whether LEAST_PART of the item's words, the anchor at ``at`` among them, stand around the position."""
+    words = np.ones(len(at), np.int64)
+    for k in (*range(-REACH, 0), *range(1, REACH + 1)):
+        there = (at + k >= items.first[item]) & (at + k < items.first[item + 1])
+        word = np.where(there, items.flat[np.clip(at + k, 0, len(items.flat) - 1)], -1)
+        hit = np.zeros(len(at), bool)
+        for shift in range(-SHIFT, SHIFT + 1):
+            hit |= seg.tokens[np.clip(position + (k + shift), 0, len(seg.tokens) - 1)] == word
+        words += hit
+    return words >= LEAST_PART
+
+
 def candidates(items: Items, seg: Segment) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(item, document, origins): where at least two anchors agree."""
+    """(item, document, origins): where two anchors agree, or one has the item's words around it."""
     item, offset = items.anchors(seg.held)
     for lo in range(0, len(items.ids), 64):  # bounds what is held at once
         start, stop = np.searchsorted(item, [lo, lo + 64])
@@ -125,11 +144,13 @@ def candidates(items: Items, seg: Segment) -> Iterator[tuple[int, int, np.ndarra
         i, origin = item[start:stop][which], position - offset[start:stop][which]
         doc = np.searchsorted(seg.base, position, "right") - 1
         order = np.lexsort((position, origin, doc, i))
-        i, doc, origin, position = i[order], doc[order], origin[order], position[order]
+        i, doc, origin, position, offset_of = i[order], doc[order], origin[order], position[order], offset[start:stop][which][order]
         near = (i[1:] == i[:-1]) & (doc[1:] == doc[:-1]) & (origin[1:] - origin[:-1] <= SHIFT)
         linked = np.zeros(len(i), bool)
         linked[1:] |= near
         linked[:-1] |= near
+        alone = np.flatnonzero(~linked)
+        linked[alone] = surrounded(items, seg, items.first[i[alone]] + offset_of[alone], i[alone], position[alone])
         i, doc, origin = i[linked], doc[linked], origin[linked]
         cut = np.flatnonzero((i[1:] != i[:-1]) | (doc[1:] != doc[:-1])) + 1
         for part in np.split(np.arange(len(i)), cut):
@@ -173,7 +194,7 @@ def passage(item: np.ndarray, doc: np.ndarray, origins: np.ndarray, min_words: i
             best = max(best, words)
         for b in runs:
             # One break: the second part goes on in the item where the first part ended.
-            if a[1] < b[0] <= a[1] + 3 and a[4] < b[3] <= a[4] + 1 + break_words and min(a[2], b[2]) >= 4:
+            if a[1] < b[0] <= a[1] + 3 and a[4] < b[3] <= a[4] + 1 + break_words and min(a[2], b[2]) >= LEAST_PART:
                 words = b[1] - a[0] + 1
                 if a[2] + b[2] >= 0.7 * words:
                     best = max(best, words)
