@@ -138,6 +138,17 @@ def test_resume_adds_no_copy(spark):
     assert len({norm(text[i]) for i in a + b}) == len(a + b)
 
 
+def test_resume_passes_the_shortfall_to_the_last_source(spark):
+    rows = [(i, i, "az" if i < 3 else "orta" if i < 6 else "son", f"satır numarası {i} burada uzun uzun durur") for i in range(200)]
+    df, src = make(spark, rows), sources(spark)
+    total = 3000
+    first = collect.collect_staged(df, src, 200)
+    taken = {r.line_id: r.n for x in (first, collect.collect_resume(df, src, total, first)) for r in x.collect()}
+    # The others run dry at six lines together; the last source stops at the first line that reaches the total.
+    assert sum(taken.values()) - taken[max(taken)] < total <= sum(taken.values())
+    assert sorted(taken) == fold(rows, total, collect.RECORD_CAP)
+
+
 def test_priority_dedup_prefers_the_rare_source(spark):
     df = make(spark, [(1, 1, "son", "Aynı satır burada durur."), (2, 2, "az", "aynı satır BURADA durur"), (3, 3, "orta", "başka bir satır")])
     assert sorted(r.line_id for r in dedup.priority_dedup(df, sources(spark)).collect()) == [2, 3]

@@ -36,9 +36,11 @@ def candidates(lines: DataFrame, sources: DataFrame, total: float) -> DataFrame:
     return x.select("line_id", F.coalesce("rec_id", F.lit(-1)).alias("rec_id"), "source", "priority", F.length("line").cast("bigint").alias("n"), F.xxhash64(norm).alias("h1"), F.xxhash64(F.lit(7), norm).alias("h2"), "quota", "is_last")
 
 
-def settle_last(x: DataFrame, total: float, taken: str) -> DataFrame:
-    """Replaces the quota of the last source by what the others, as far as ``taken``, leave of the total."""
-    others = x.where(f"{taken} and not is_last").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("others"))
+def settle_last(x: DataFrame, total: float, taken: str, before: DataFrame | None = None) -> DataFrame:
+    """Replaces the quota of the last source by what the others, as far as ``taken`` and in lines taken ``before``, leave of the total."""
+    others = x.where(f"{taken} and not is_last").select("n")
+    others = others if before is None else others.unionByName(before.select("n"))
+    others = others.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("others"))
     left = F.greatest(F.floor(F.lit(float(total))).cast("bigint") - F.col("others"), F.lit(0))
     return x.crossJoin(F.broadcast(others)).withColumn("limit", F.when(F.col("is_last"), left).otherwise(F.col("quota"))).drop("others")  # one row
 
@@ -84,7 +86,8 @@ def collect_resume(lines: DataFrame, sources: DataFrame, total: float, already:
     """Goes on after ``already`` (line_id, source, n): what a restarted run adds.
 
     Records up to the last one taken of a source are skipped; copies of what was
-    taken stay out, and quotas go on from there.
+    taken stay out, and quotas go on from there. The last source takes what the
+    others, in both runs together, leave of the total.
     """
     already = cut(already, "already")
     taken = cut(lines.join(already.select("line_id"), "line_id", "left_semi").select("source", "rec_id", "line"), "taken")
@@ -96,7 +99,11 @@ def collect_resume(lines: DataFrame, sources: DataFrame, total: float, already:
     x = first_of_norm(candidates(rest, sources, total).withColumn("norm", F.struct("h1", "h2")), ["priority", "line_id"])
     x = exclusive_sum(x, ["source", "rec_id"], bucket_of(), ["line_id"], "n", "in_record").where(F.col("in_record") < record_cap)
     x = exclusive_sum(x, ["source"], bucket_of(), ["line_id"], "n", "in_source").join(F.broadcast(sums), "source", "left")
-    return x.where(F.col("in_source") + F.coalesce("had", F.lit(0)) < F.col("quota")).select("line_id", "source", "n")
+    x = x.withColumn("in_source", F.col("in_source") + F.coalesce("had", F.lit(0)))
+    x = x.withColumn("within", F.col("in_source") < F.col("quota"))
+    last = quotas(sources, total).where("is_last").select("source")
+    others = sources.select(F.col("name").alias("source")).join(last, "source", "left_anti")
+    return settle_last(x, total, "within", already.join(others, "source", "left_semi")).where("in_source < limit").select("line_id", "source", "n")
 
 
 def shard_assignment(lines: DataFrame, shard_lines: int = SHARD_LINES) -> DataFrame:

@@ -246,7 +246,7 @@ def collect_exact(s, d):
 
 @query("collect_resume")
 def collect_resume(s, d):
-    """A run for half of the characters, gone on with to the whole."""
+    """A run for three tenths of the characters, gone on with to nine tenths."""
     src, u = table(s, d, "sources"), usable(s, d)
     first = collect.collect_staged(u, src, total_chars(s, d, 0.3))
     return collect.collect_resume(u, src, total_chars(s, d, 0.9), first)
