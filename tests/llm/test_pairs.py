@@ -159,6 +159,20 @@ def test_overlap_across_splits(spark):
     assert 0.75 <= got[1, 101][1] <= 0.85
 
 
+def test_overlap_of_lines_edited_at_different_places(spark):
+    """No three common words stand in a row, and what stands beside two is in no other line."""
+
+    def edited(own, after, front):
+        out = [f"{own}ön"] if front else []
+        for k in range(15):
+            out += [f"kelime{k}", *([f"{own}{k}"] if k in after else [])]
+        return " ".join(out)
+
+    held, train = [(1, edited("bir", (0, 2, 6, 10, 14), False))], [(100, edited("iki", (0, 4, 8, 12), True))]
+    got = [(r.holdout_id, r.train_id, r.shared) for r in overlap.overlaps(make(spark, held), make(spark, train)).collect()]
+    assert got == [(1, 100, 15)]
+
+
 def test_overlap_report(spark):
     text = " ".join(f"kelime{k}" for k in range(24))
     held = spark.createDataFrame([(1, "dev", None, text), (2, "dev", "web", text), (3, "holdout", "web", "başka")], "line_id bigint, split string, source string, text string")

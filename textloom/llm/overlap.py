@@ -2,10 +2,10 @@
 
 Method: winnowing fingerprints. Every line gives rolling hashes over two words in
 a row; of every two neighbouring hashes the lesser is selected, in an order that
-puts rare hashes first and is the same for all lines. Any three words in a row
-that two lines share thus give both the same fingerprint, and a line of which at
-most a quarter of the words was changed in place keeps such a run. Fingerprints
-that occur once in both splits together can't meet and are dropped. The selected
+puts rare hashes first, but those that occur once in both splits together last,
+and is the same for all lines. Any three words in a row that two lines share thus
+give both the same fingerprint, and so do two where what stands beside them is in
+no other line. Fingerprints that occur once can't meet and are dropped. The selected
 hashes are joined across the splits; the seeds of a pair are chained where they
 are collinear, the chains are extended by alignment, and the words covered are
 counted. Whether a pair counts is then decided exactly, by its words in common.
@@ -66,25 +66,27 @@ def grams(seq: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def winnow(gram: np.ndarray, n: np.ndarray, counts: np.ndarray, crowded: int = CROWDED) -> tuple[np.ndarray, np.ndarray]:
-    """(place, key) selected: the least hash of every WINDOW in a row, rare hashes first.
+    """(place, key) selected: the least hash of every WINDOW in a row, rare hashes first, those held once last.
 
     Where even the least is held by more than ``crowded`` rows, all hashes of the
     window together are the key: lines that share the window's words share it too.
     """
     held = counts[bucket_of(gram)].astype(np.uint64)
-    order = (held << np.uint64(32)) + gram
+    # Hashes that nothing else has come last, so that they don't take a window from one that can meet.
+    order = (np.where(held > 1, held, np.uint64(1 << 31)) << np.uint64(32)) + gram
     place = np.arange(len(gram))
     end = np.repeat(starts_of(n) + n - GRAM + 1, n)
-    lo, whole_key = place.copy(), mix(gram.astype(np.uint64))
+    lo, whole_key, meets = place.copy(), mix(gram.astype(np.uint64)), held > 1
     for k in range(1, WINDOW):
         other = np.minimum(place + k, len(gram) - 1)
         lo = np.where((place + k < end) & (order[other] < order[lo]), other, lo)
         whole_key = mix(whole_key + gram[other])
+        meets &= held[other] > 1
     windows = place[place + WINDOW <= end]
     many = held[lo[windows]] > crowded
     single = np.unique(lo[windows[~many]])
     single = single[held[single] > 1]
-    wide = windows[many]
+    wide = windows[many & meets[windows]]
     return np.concatenate([single, wide]), np.concatenate([gram[single].astype(np.int64), whole_key[wide].view(np.int64) | np.int64(-(1 << 62))])
 
 
