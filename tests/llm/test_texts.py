@@ -332,6 +332,22 @@ def test_subjects(spark):
     assert total >= df.select("doc_id").distinct().count()
 
 
+def test_every_link_is_calibrated_with_few_labels(spark):
+    docs, truth = subject_corpus(2, 250)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    labels = spark.createDataFrame([(i, s) for i in truth for s in truth[i]], "doc_id bigint, subject string")
+    model = subjects.fit(df, labels, ["hukuk", "spor", "yemek"])
+    assert len(model.calibration) == 3 and (1.0, 0.0) not in model.calibration
+
+
+def test_calibration_undoes_an_overconfident_score():
+    r = np.random.default_rng(5)
+    z = r.normal(size=600) * 4
+    y = (r.random(600) < 1 / (1 + np.exp(-z / 2))).astype(float)
+    step = subjects.logistic(np.stack([z, np.ones(600)], 1), y, np.full(2, subjects.SHRINK), offset=z)
+    assert abs(1 + step[0] - 0.5) < 0.12 and abs(step[1]) < 0.3
+
+
 def test_beam_search_finds_the_best_answers():
     r = np.random.default_rng(3)
     m = subjects.Model(["a", "b", "c", "d"], {}, [], [2, 0, 3, 1], [], np.zeros(0), [])

@@ -7,7 +7,7 @@ the term features of a document; its source and its structure (number and length
 of sentences, share without a subject) are added. A chain of logistic regressions
 predicts the subjects one after the other, the most frequent first, each also from
 those before it, so that subjects that come together are modelled; every link is
-calibrated on labelled documents held out from its fit. The joint probability of
+calibrated by cross-fitting on all labelled documents that are fitted. The joint probability of
 the twelve yes-or-no answers is decoded by beam search. By definition a subject
 needs a fifth of the sentences; that is checked last.
 
@@ -49,6 +49,9 @@ LEAST_ODDS = 0.5
 #: The share of sentences from which on more of them tell nothing new.
 FULL = 0.2
 BEAM = 8
+#: Parts of the labelled documents for the calibration, and the penalty of moving away from none.
+FOLDS = 5
+SHRINK = 2.0
 STEMS = re.compile(rf"(?<![^\W_])([^\W\d_][^\W_]{{2,{STEM - 1}}})")
 SENTENCE = re.compile(r"[.!?…]+\s+|\n+|\s:\)\s*")
 
@@ -120,12 +123,12 @@ class Model:
         return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: np.ndarray, steps: int = 25) -> np.ndarray:
-    """Weights of a logistic regression with a ridge penalty for each, by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: np.ndarray, steps: int = 25, offset: np.ndarray | float = 0.0) -> np.ndarray:
+    """Weights of a logistic regression with a ridge penalty for each, by Newton's method; ``offset`` is added to every score."""
     w = np.zeros(x.shape[1])
     penalty = np.asarray(ridge, float)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(x @ w + offset, -30, 30)))
         grad = x.T @ (p - y) + penalty * w
         hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(hess, grad)
@@ -135,6 +138,18 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: np.ndarray, steps: int = 25) -
     return w
 
 
+def calibrated(x: np.ndarray, y: np.ndarray, ridge: np.ndarray, fold: np.ndarray) -> tuple[float, float]:
+    """(a, b) of the calibration by cross-fitting: every row is scored by a fit without its fold."""
+    z = np.zeros(len(x))
+    for f in np.unique(fold):
+        z[fold == f] = x[fold == f] @ logistic(x[fold != f], y[fold != f], ridge)
+    if not 0 < y.sum() < len(y):
+        return 1.0, 0.0
+    # Shrunk towards no change (a = 1, b = 0), the more the fewer documents there are.
+    step = logistic(np.stack([z, np.ones(len(z))], 1), y, np.full(2, SHRINK), offset=z)
+    return max(1.0 + float(step[0]), 0.2), float(step[1])
+
+
 def term_weights(counts: list, subjects: list[str], size: dict[str, float]) -> dict[str, list[tuple[int, float]]]:
     """Terms that speak for one subject, with the logarithm of the odds."""
     seen: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(subjects)))
@@ -224,21 +239,14 @@ def fit(docs: DataFrame, labels: DataFrame, subjects: list[str], fit_documents:
     rows.sort(key=lambda r: r.doc_id)
     x = np.array([r.x for r in rows])
     y = np.array([[float(s in r.subjects) for s in subjects] for r in rows])[:, order]
-    held = np.arange(len(rows)) % 5 == 4 if len(rows) >= 200 else np.zeros(len(rows), bool)
+    fold = np.arange(len(rows)) % FOLDS
     for k in range(len(order)):
         full = np.hstack([model.inputs(x), y[:, :k]])
         # A subject is judged by its own sentences first; the other evidence must be strong to count.
         ridge = np.concatenate([np.full(len(subjects), 20.0), np.full(3, 2.0), np.full(len(sources), 5.0), [0.01], np.full(k, 20.0)])
         ridge[order[k]] = 0.05
-        w = logistic(full[~held], y[~held, k], ridge)
-        a, b = 1.0, 0.0
-        if held.any() and 0 < y[held, k].sum() < held.sum():
-            z = np.stack([full[held] @ w, np.ones(held.sum())], 1)
-            # Shrunk towards no change, as few documents are held out.
-            a, b = logistic(np.stack([z[:, 0], z[:, 1]], 1), y[held, k], np.full(2, 2.0)) if held.sum() >= 400 else (1.0, 0.0)
-            a = max(a, 0.2)
-        model.links.append(w)
-        model.calibration.append((float(a), float(b)))
+        model.links.append(logistic(full, y[:, k], ridge))
+        model.calibration.append(calibrated(full, y[:, k], ridge, fold))
     return model
 
 
