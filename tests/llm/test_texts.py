@@ -332,6 +332,16 @@ def test_subjects(spark):
     assert total >= df.select("doc_id").distinct().count()
 
 
+def test_terms_are_counted_on_all_documents(spark):
+    docs, truth = subject_corpus(3, 200)
+    docs += [(10_000 + k, text, source) for k, (_, text, source) in enumerate(docs * 30)]
+    rare = [(99_000 + k, "sporaler sporbler. sporcler spordler. sporeler sporfler nadirce.", "web") for k in range(3)]
+    df = spark.createDataFrame(docs + rare, "doc_id bigint, text string, source string")
+    labels = spark.createDataFrame([(i, s) for i in truth for s in truth[i]], "doc_id bigint, subject string")
+    model = subjects.fit(df, labels, ["hukuk", "spor", "yemek"])
+    assert [model.subjects[j] for j, _ in model.terms["nadir"]] == ["spor"]
+
+
 def test_every_link_is_calibrated_with_few_labels(spark):
     docs, truth = subject_corpus(2, 250)
     df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")

@@ -12,12 +12,11 @@ the twelve yes-or-no answers is decoded by beam search. By definition a subject
 needs a fifth of the sentences; that is checked last.
 
 Few documents are labelled, so the terms are counted in rounds: those of the labelled
-documents first, then, ``ROUNDS`` times, also those of a bounded sample of other
-documents that the weights so far place without doubt (``SURE`` of their sentences).
+documents first, then, ``ROUNDS`` times, also those of all other documents
+that the weights so far place without doubt (``SURE`` of their sentences).
 
 Bounds of the fit: the ``fit_documents`` labelled documents with the least hash of
-their id (all, where there are fewer), and about ``MORE_DOCUMENTS`` others, drawn
-by the same hash. Every document is classified, whole.
+their id (all, where there are fewer). Every document is counted and classified, whole.
 
 Defined results: null and blank texts, texts in which no sentence is about a
 subject, and English texts (none of their terms has weight) have no row; a missing
@@ -40,7 +39,6 @@ from pyspark.sql import functions as F
 from textloom.llm.leak import plain_text
 
 FIT_DOCUMENTS = 6000
-MORE_DOCUMENTS = 4000
 SURE = 0.6
 ROUNDS = 3
 STEM = 5
@@ -168,12 +166,10 @@ def term_weights(counts: list, subjects: list[str], size: dict[str, float]) -> d
     return out
 
 
-def more_counts(docs: DataFrame, chosen: DataFrame, model: Model) -> list:
+def more_counts(docs: DataFrame, chosen: DataFrame, model: Model, labelled: DataFrame) -> list:
     """(stem, subject, n) of documents without a label that the model places without doubt; stem null for their number."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rate = min(1.0, MORE_DOCUMENTS / max(1, docs.count()))
-    drawn = F.pmod(F.xxhash64(F.lit("more"), F.col("doc_id").cast("bigint")), F.lit(1 << 30)) < int(rate * (1 << 30))
-    others = docs.where(drawn).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti")
+    others = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, n = sent.value, Counter()
@@ -188,7 +184,12 @@ def more_counts(docs: DataFrame, chosen: DataFrame, model: Model) -> list:
         keys = list(n)
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([float(n[k]) for k in keys], pa.float64())], names=["stem", "subject", "n"])
 
-    return others.select("text").mapInArrow(count, "stem string, subject string, n double").groupBy("stem", "subject").agg(F.sum("n").alias("n")).collect()
+    n = others.select("text").mapInArrow(count, "stem string, subject string, n double").groupBy("stem", "subject").agg(F.sum("n").alias("n"))
+    # A stem that stays below LEAST_SEEN with what the labelled documents give gets no weight and isn't sent.
+    by_stem = n.groupBy("stem").agg(F.collect_list(F.struct("subject", "n")).alias("of"), F.sum("n").alias("all"))
+    given = F.coalesce(F.col("given"), F.lit(0.0))
+    kept = by_stem.join(labelled.groupBy("stem").agg(F.sum("n").alias("given")), "stem", "left").where(F.col("stem").isNull() | (F.col("all") + given >= LEAST_SEEN))
+    return kept.select("stem", F.explode("of").alias("x")).select("stem", "x.subject", "x.n").collect()
 
 
 def fit(docs: DataFrame, labels: DataFrame, subjects: list[str], fit_documents: int = FIT_DOCUMENTS) -> Model | None:
@@ -215,12 +216,13 @@ def fit(docs: DataFrame, labels: DataFrame, subjects: list[str], fit_documents:
         for s in r.subjects:
             size[s] += 1 / len(r.subjects)
     rows = counts.collect()
+    labelled = spark.createDataFrame([(r.stem, float(r.n)) for r in rows], "stem string, n double")
     terms = term_weights(rows, subjects, size)
     order = sorted(range(len(subjects)), key=lambda j: (-size[subjects[j]], subjects[j]))
     sources = [r[0] for r in texts.groupBy("source").count().where("source is not null").orderBy(F.desc("count"), "source").limit(32).select("source").collect()]
     model = Model(subjects, terms, sources, order, [], np.zeros(0), [])
     for _ in range(ROUNDS):
-        more = more_counts(docs, chosen, model)
+        more = more_counts(docs, chosen, model, labelled)
         grown = dict(size)
         for r in more:
             if r.stem is None:
