@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,46 +16,38 @@ def make(spark, rows):
     return spark.createDataFrame([(i, r, s, "c", f"{s}_0001", i, t, 1) for i, r, s, t in rows], LINE)
 
 
-def greedy(text, limit):
-    """A second, recursive way to the same pieces."""
-    import re
-
-    if len(text) <= limit:
-        return [text]
-    out, buf = [], ""
-    todo = re.split(r"(?<=[.!?…])\s+", text)
-    while todo:
-        s = todo.pop(0)
-        if len(s) > limit:
-            if buf:
-                out.append(buf)
-                buf = ""
-            k = s[:limit].rfind(" ")
-            k = k if k > 0 else limit
-            out.append(s[:k])
-            todo.insert(0, s[k:].lstrip())
-        elif len(buf) + len(s) + 1 > limit:
-            if buf:
-                out.append(buf)
-            buf = s
-        else:
-            buf = (buf + " " + s).strip()
-    return out + ([buf] if buf else [])
-
-
-@pytest.mark.parametrize("seed", range(30))
-def test_pack_sentences(seed):
-    r = random.Random(seed)
-    text = "".join(r.choice(["a", "bb", " ", ". ", "! ", "  ", "ccccc", "…\t"]) for _ in range(r.randint(0, 160)))
-    got = lines.pack_sentences(text, 40)
-    assert got == greedy(text, 40)
-    assert all(len(x) <= 40 for x in got) or len(text) <= 40
-    assert "".join("".join(got).split()) == "".join(text.split())
-
-
-@pytest.mark.parametrize("text", ["x" * 100, "x" * 40, "x" * 41, ". ".join(["y" * 38] * 3), ""])
-def test_pack_sentences_edges(text):
-    assert lines.pack_sentences(text, 40) == greedy(text, 40)
+def pieces_of(spark, texts, limit):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    return [r.p for r in df.select("i", lines.split_long(F.col("t"), limit).alias("p")).orderBy("i").collect()]
+
+
+def test_pieces_of_long_texts(spark):
+    r = random.Random(1)
+    texts = ["".join(r.choice(["a", "bb", " ", ". ", "! ", "  ", "ccccc", "…\t"]) for _ in range(r.randint(0, 160))) for _ in range(300)]
+    texts = [t.strip() for t in texts]
+    for text, got in zip(texts, pieces_of(spark, texts, 40)):
+        if len(text) <= 40:
+            assert got == [text]
+            continue
+        assert all(0 < len(x) <= 40 for x in got)
+        assert "".join("".join(got).split()) == "".join(text.split())
+        sentences = re.split(r"(?<=[.!?…])\s+", text)
+        if max(map(len, sentences)) <= 40:
+            # Cuts are at ends of sentences only, and the sentence after a cut would not have fitted.
+            assert " ".join(got) == " ".join(sentences)
+            assert all(len(a) + 1 + len(re.split(r"(?<=[.!?…])\s+", b)[0]) > 40 for a, b in zip(got, got[1:]))
+
+
+@pytest.mark.parametrize("text, want", [
+    ("x" * 100, ["x" * 40, "x" * 40, "x" * 20]), ("x" * 40, ["x" * 40]), ("x" * 41, ["x" * 40, "x"]), ("", [""]), (None, None),
+    (". ".join(["y" * 38] * 3), ["y" * 38 + ".", "y" * 38 + ".", "y" * 38]),
+    ("a" * 30 + " " + "b" * 9 + " " + "c" * 5, ["a" * 30, "b" * 9 + " " + "c" * 5]),
+    ("k. " + "d" * 45 + ". e.", ["k.", "d" * 40, "d" * 5 + ". e."]),
+    ("bir iki. üç dört! beş altı yedi sekiz? dokuz", ["bir iki. üç dört! beş altı yedi sekiz?", "dokuz"]),
+    ("f" * 39 + ". g." + " " * 5, ["f" * 39 + ".", "g."]),
+])
+def test_pieces_by_hand(spark, text, want):
+    assert pieces_of(spark, [text], 40) == [want]
 
 
 def test_explode_lines(spark):

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import collapse_space, once
+from textloom.functions.text import WHITESPACE, collapse_space, once
 
 LIMIT = 2000
 # Limits of a usable web record.
 MIN_LANGUAGE_SCORE, MAX_CLUSTER = 0.90, 1000
-SENTENCE_END = re.compile(r"(?<=[.!?…])\s+")
+SENTENCE_END = f"(?<=[.!?…]){WHITESPACE}"
 
 
 def as_list(df: DataFrame, text_col: str) -> Column:
@@ -21,50 +18,55 @@ def as_list(df: DataFrame, text_col: str) -> Column:
     return F.col(text_col) if dict(df.dtypes)[text_col].startswith("array") else F.array(text_col)
 
 
-def pack_sentences(text: str, limit: int = LIMIT) -> list[str]:
-    """Pieces of a long text, cut where sentences end, or at blanks where a sentence is too long."""
-    if len(text) <= limit:
-        return [text]
-    pieces, held = [], ""
-    for sentence in SENTENCE_END.split(text):
-        while len(sentence) > limit:
-            if held:
-                pieces.append(held)
-                held = ""
-            at = max(sentence.rfind(" ", 0, limit), 0) or limit
-            pieces.append(sentence[:at])
-            sentence = sentence[at:].lstrip()
-        fits = len(held) + 1 + len(sentence) <= limit
-        if held and not fits:
-            pieces.append(held)
-        held = f"{held} {sentence}".strip() if fits else sentence
-    return [*pieces, held] if held else pieces
+def atoms(text: Column, limit: int) -> Column:
+    """(text, fresh, n, bare) of the sentences of a text; one above the limit is a run of fragments, each marked fresh.
+
+    A fragment ends before the last blank within the limit, or at the limit where there is none.
+    """
+    fragment = rf"(?s)(?:\A|{WHITESPACE[:-1]}*+)(.{{1,{limit}}}\z|.{{1,{limit - 1}}}(?= )|.{{{limit}}})"
+    of = lambda sentence: F.transform(
+        F.when(F.length(sentence) <= limit, F.array(sentence)).otherwise(F.regexp_extract_all(sentence, F.lit(fragment), F.lit(1))),
+        lambda x: F.struct(x.alias("text"), (F.length(sentence) > limit).alias("fresh"), F.length(x).alias("n"), F.length(F.trim(x)).alias("bare")),
+    )
+    return F.filter(F.flatten(F.transform(F.split(text, SENTENCE_END), of)), lambda x: x.n > 0)
 
 
 def split_long(text: Column, limit: int = LIMIT) -> Column:
-    """The pieces of a text as an array. Only texts above the limit go to Python."""
+    """The pieces of a text as an array: cut where sentences end, or at blanks where a sentence is too long.
+
+    The places at which pieces start are worked out from the lengths of the atoms
+    alone; the pieces are slices between them. A text within the limit stays as it
+    is. Everything stays in the JVM.
+    """
+
+    def place(state: Column, x: Column) -> Column:
+        held = F.when(state.n > 0, state.n + 1 + x.n).otherwise(F.lit(limit + 1))
+        joins = ~x.fresh & (held <= limit)
+        return F.struct(
+            F.when(joins, state.starts).otherwise(F.concat(state.starts, F.array(state.at))).alias("starts"),
+            F.when(joins, held).when(x.fresh | (x.n == limit), x.n).otherwise(x.bare).alias("n"), (state.at + 1).alias("at"),
+        )
 
-    @F.pandas_udf("array<string>")
-    def pieces(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [] if t is None else pack_sentences(t, limit))
+    def pieces(a: Column) -> Column:
+        first = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("n"), F.lit(1).alias("at"))
+        starts = F.aggregate(a, first, place, lambda s: s.starts)
+        return F.transform(starts, lambda lo, k: F.array_join(F.slice(F.transform(a, lambda x: x.text), lo, F.coalesce(F.get(starts, k + 1), F.size(a) + 1) - lo), " "))
 
-    return F.when(F.length(text) <= limit, F.array(text)).otherwise(pieces(F.when(F.length(text) > limit, text)))
+    return F.when(F.length(text) <= limit, F.array(text)).otherwise(F.flatten(F.transform(F.array(atoms(text, limit)), pieces)))
 
 
 def explode_lines(df: DataFrame, keys: list[str], text_col: str = "text", limit: int | None = LIMIT) -> DataFrame:
     """(keys..., part_no, raw_no, chunk_no, line): every line of every record, cleaned.
 
     Null parts give nothing; an empty part gives one empty line. With ``limit``
-    None long lines stay whole and the plan has no Python.
+    None long lines stay whole.
     """
     x = df.select(*keys, F.posexplode(as_list(df, text_col)).alias("part_no", "part")).where("part is not null")
     x = x.select(*keys, "part_no", F.posexplode(F.split("part", "\n")).alias("raw_no", "raw"))
     if limit is None:
         return x.select(*keys, "part_no", "raw_no", F.lit(0).alias("chunk_no"), once(collapse_space(F.col("raw"))).alias("line"))
-    # Short lines never pass through Python: they are a branch of their own.
-    short = x.where(F.length("raw") <= limit).select(*keys, "part_no", "raw_no", F.lit(0).alias("chunk_no"), "raw")
-    long = x.where(F.length("raw") > limit).select(*keys, "part_no", "raw_no", F.posexplode(split_long(F.col("raw"), limit)).alias("chunk_no", "raw"))
-    return short.unionByName(long).select(*keys, "part_no", "raw_no", "chunk_no", once(collapse_space(F.col("raw"))).alias("line"))
+    x = x.select(*keys, "part_no", "raw_no", F.posexplode(split_long(F.col("raw"), limit)).alias("chunk_no", "raw"))
+    return x.select(*keys, "part_no", "raw_no", "chunk_no", once(collapse_space(F.col("raw"))).alias("line"))
 
 
 def usable_records(df: DataFrame) -> DataFrame:

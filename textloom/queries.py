@@ -124,9 +124,23 @@ def explode_lists(s, d):
     return x.select("rec_id", "config", F.col("part_no").cast("bigint").alias("part_no"), F.col("raw_no").cast("bigint").alias("raw_no"), "line")
 
 
-@query("split_long")
+# One step takes the next sentence, or cuts the one at hand where it is above the limit.
+SPLIT_LONG = DOC_LINES.replace("with raw", "with recursive raw") + f""", parts as (select doc_id, raw_no, raw, string_split(regexp_replace(raw, '([.!?…]){SPACES}', '\\1' || chr(2), 'g'), chr(2)) as ss from raw where length(raw) > 2000),
+cuts as (select doc_id, raw_no, 0 as i, ''::varchar as s, ''::varchar as held, []::varchar[] as done, false as at_end, ss from parts
+  union all select doc_id, raw_no, case when length(s) > 2000 then i else i + 1 end,
+    case when length(s) > 2000 then regexp_replace(substring(s, k + 1), '^{SPACES}', '') else coalesce(ss[i + 1], '') end,
+    case when length(s) > 2000 then '' when length(held) + 1 + length(s) <= 2000 then trim(held || ' ' || s) else s end,
+    case when length(s) > 2000 then list_append(case when held = '' then done else list_append(done, held) end, substring(s, 1, k))
+      when length(held) + 1 + length(s) <= 2000 or held = '' then done else list_append(done, held) end, i > len(ss), ss
+  from (select *, case when length(regexp_extract(substring(s, 1, 2000), '^((?s:.+)) ', 1)) > 0 then length(regexp_extract(substring(s, 1, 2000), '^((?s:.+)) ', 1)) else 2000 end as k from cuts) where not at_end),
+whole as (select doc_id, raw_no, case when held = '' then done else list_append(done, held) end as ps from cuts where at_end),
+chunks as (select doc_id, raw_no, generate_subscripts(ps, 1) - 1 as chunk_no, unnest(ps) as piece from whole union all select doc_id, raw_no, 0, raw from raw where length(raw) <= 2000)
+select doc_id, raw_no, chunk_no, {sql_clean('piece')} as line from chunks"""
+
+
+@query("split_long", SPLIT_LONG)
 def split_long(s, d):
-    return lines.explode_lines(table(s, d, "documents"), ["doc_id"]).select("doc_id", "raw_no", "chunk_no", "line")
+    return lines.explode_lines(table(s, d, "documents"), ["doc_id"]).select("doc_id", F.col("raw_no").cast("bigint").alias("raw_no"), F.col("chunk_no").cast("bigint").alias("chunk_no"), "line")
 
 
 @query("flagship", DOC_LINES + f", r as (select source, coalesce({REASON}, 'ok') as reason, length(line) as n from lines) select source, reason, count(*) as lines, sum(n)::bigint as chars from r group by 1, 2")
