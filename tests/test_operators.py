@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from textloom.functions.text import collapse_space
 from textloom.operators import collect, dedup, lines, pieces, prefix, report, sampling, split
 from textloom.plans import corpus
+from textloom.sources import readers
 
 LINE = "line_id bigint, rec_id bigint, source string, config string, shard string, line_no int, line string, extra int"
 
 
 def make(spark, rows):
     """rows: (line_id, rec_id, source, line)"""
-    return spark.createDataFrame([(i, r, s, "c", f"{s}_0001", i, t, 1) for i, r, s, t in rows], LINE)
+    return spark.createDataFrame([(i, r, s, "c", f"{s}_0001", i % 1000, t, 1) for i, r, s, t in rows], LINE)
 
 
 def pieces_of(spark, texts, limit):
@@ -142,6 +143,31 @@ def test_resume_passes_the_shortfall_to_the_last_source(spark):
     assert sorted(taken) == fold(rows, total, collect.RECORD_CAP)
 
 
+@pytest.mark.parametrize("stop", [20, 90, 150])
+def test_resume_is_the_rest_of_the_run(spark, stop):
+    rows = random_lines(6)
+    order = sorted(rows, key=lambda x: ({n: p for p, n, q in SOURCES if q}.get(x[2], 9), x[0]))
+    whole = fold(rows, 5000, 20_000)
+    # The run was interrupted between two records.
+    done = [x for x in order if x[0] in whole][:stop]
+    done = [x for x in done if (x[2], x[1]) != (done[-1][2], done[-1][1])]
+    already = spark.createDataFrame([(x[0], x[2], len(x[3])) for x in done], "line_id bigint, source string, n bigint")
+    more = collect.collect_resume(make(spark, rows), sources(spark), 5000, already)
+    assert sorted([x[0] for x in done] + [r.line_id for r in more.collect()]) == whole
+
+
+@pytest.mark.parametrize("ids", [lambda i: i * 7919 % 1_000_003 - 500_000, lambda i: i << 44, lambda i: 5 + i])
+def test_stops_and_skips_with_any_ids(spark, ids):
+    rows = sorted((ids(i), i, s, t) for i, _, s, t in random_lines(8, 120))
+    got = collect.collect_exact(make(spark, rows).drop("line_no").withColumn("line_no", F.lit(1)), sources(spark), 2500)
+    assert sorted(r.line_id for r in got.collect()) == fold(rows, 2500, 20_000)
+    df = make(spark, rows)
+    for k in (0, 1, 57, 120, 500):
+        assert sorted(r.line_id for r in readers.skip_done(df, "line_id", k).collect()) == [r[0] for r in rows][k:]
+    sums = prefix.exclusive_sum(df.withColumn("k", F.lit(0)), ["k"], collect.bucket_of(), ["line_id"], "extra", "before")
+    assert [r.before for r in sums.orderBy("line_id").collect()] == list(range(120))
+
+
 def test_priority_dedup_prefers_the_rare_source(spark):
     df = make(spark, [(1, 1, "son", "Aynı satır burada durur."), (2, 2, "az", "aynı satır BURADA durur"), (3, 3, "orta", "başka bir satır")])
     assert sorted(r.line_id for r in dedup.priority_dedup(df, sources(spark)).collect()) == [2, 3]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import dedup_norm
+from textloom.functions.text import dedup_norm, hash128
 
 
 def with_priority(lines: DataFrame, sources: DataFrame) -> DataFrame:
@@ -37,8 +37,9 @@ def exact_dedup(lines: DataFrame) -> DataFrame:
 
 def duplicate_report(lines: DataFrame) -> DataFrame:
     """(source, lines, unique_keys, duplicates) by source, the totals under a null source."""
-    x = lines.select(F.coalesce("source", F.lit("?")).alias("source"), F.xxhash64(dedup_norm(F.col("line"))).alias("k"))
-    per_key = x.groupBy("source", "k").agg(F.count(F.lit(1)).alias("n"))
+    h1, h2 = hash128(dedup_norm(F.col("line")))
+    x = lines.select(F.coalesce("source", F.lit("?")).alias("source"), h1.alias("h1"), h2.alias("h2"))
+    per_key = x.groupBy("source", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
     per = per_key.groupBy("source").agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("unique_keys"))
-    whole = per_key.groupBy("k").agg(F.sum("n").alias("n")).agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("unique_keys")).select(F.lit(None).cast("string").alias("source"), "lines", "unique_keys")
+    whole = per_key.groupBy("h1", "h2").agg(F.sum("n").alias("n")).agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("unique_keys")).select(F.lit(None).cast("string").alias("source"), "lines", "unique_keys")
     return per.unionByName(whole).withColumn("duplicates", F.col("lines") - F.col("unique_keys"))

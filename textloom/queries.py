@@ -253,17 +253,47 @@ def source_summary(s, d):
     return collect.source_summary(collect.collect_staged(usable(s, d), table(s, d, "sources"), total), table(s, d, "sources"), total)
 
 
-@query("collect_exact")
+PRIORITIES = range(1, 12)
+
+
+def one_pass(name: str, share: float, before: str = "") -> str:
+    """The sequential pass, one source of the registry after the other.
+
+    Records of the test tables stay far below the cap, so it never turns a line
+    away there (the brute-force tests cover that). ``before`` names the lines of an
+    earlier run: their forms are not taken again, and their characters count.
+    """
+    was = f"select norm from c join {before} using (line_id)" if before else "select '' as norm where false"
+    had = f"coalesce((select sum(n) from {before} where source = q.source), 0)" if before else "0"
+    rest = f"and not exists (select 1 from c z join {before} on {before}.line_id = z.line_id where z.source = c.source and z.rec_id >= c.rec_id)" if before else ""
+    parts = [f", {name}_q as (select name as source, priority, floor(quota * trunc((select sum(length(line)) from usable) * {share}))::bigint as quota, priority = max(priority) over () as is_last from sources where quota > 0), {name}_seen as ({was})"]
+    done, known = [], f"select norm from {name}_seen"
+    for p in PRIORITIES:
+        others = " + ".join(f"coalesce((select sum(n) from {name}_{x}), 0)" for x in done) or "0"
+        earlier = f" - coalesce((select sum(n) from {before}), 0)" if before else ""
+        limit = f"case when q.is_last then trunc((select sum(length(line)) from usable) * {share})::bigint - ({others}){earlier} else q.quota - {had} end"
+        parts.append(f""", {name}_f{p} as (select c.*, {limit} as room from c join {name}_q q on q.source = c.source where q.priority = {p} {rest} and norm not in ({known})
+  qualify row_number() over (partition by norm order by line_id) = 1),
+{name}_{p} as (select line_id, source, n, norm from (select *, coalesce(sum(n) over (order by line_id rows between unbounded preceding and 1 preceding), 0) as had from {name}_f{p}) where had < room)""")
+        done.append(p)
+        known += f" union all select norm from {name}_{p}"
+    return "".join(parts) + f", {name} as (" + " union all ".join(f"select line_id, source, n from {name}_{p}" for p in PRIORITIES) + ")"
+
+
+PASS = USABLE + f", c as (select line_id, rec_id, source, length(line)::bigint as n, {sql_norm('line')} as norm from usable where source is not null)"
+
+
+@query("collect_exact", PASS + one_pass("taken", 0.9) + " select line_id, source, n from taken")
 def collect_exact(s, d):
     return collect.collect_exact(usable(s, d), table(s, d, "sources"), total_chars(s, d, 0.9))
 
 
-@query("collect_resume")
+@query("collect_resume", PASS + one_pass("first_run", 0.3) + one_pass("more", 0.9, "first_run") + " select line_id, source, n from more")
 def collect_resume(s, d):
     """A run for three tenths of the characters, gone on with to nine tenths."""
-    src, u = table(s, d, "sources"), usable(s, d)
-    first = collect.collect_staged(u, src, total_chars(s, d, 0.3))
-    return collect.collect_resume(u, src, total_chars(s, d, 0.9), first)
+    src, u, total = table(s, d, "sources"), usable(s, d), total_chars(s, d, 1.0)
+    first = collect.collect_exact(u, src, float(int(total * 0.3)))
+    return collect.collect_resume(u, src, float(int(total * 0.9)), first)
 
 
 @query("shard_assignment", USABLE + " select line_id, source, format('{}_{:04d}', source, (row_number() over (partition by source order by line_id) - 1) // 500000 + 1) as shard from usable where source is not null")
@@ -361,7 +391,7 @@ def divided(s, d):
 
 @query("holdout_split", PLAN + " select line_id, source, split from parts")
 def holdout_split(s, d):
-    return divided(s, d).select("line_id", "source", "split")
+    return split.holdout_draw(usable(s, d), ["line_id"])
 
 
 @query("split_report", PLAN + " select source, split, count(*) as lines, sum(length(line))::bigint as chars from parts group by 1, 2")

@@ -49,13 +49,29 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     pruned, and it outlives the loss of any executor.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/textloom/{name}-{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def own_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_dir(spark)}/textloom/{spark.sparkContext.applicationId}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables made by ``cut`` that nothing reads any more."""
+    for t in tables:
+        delete(t.sparkSession, t.cut_path)
 
 
 def drop_cuts(spark: SparkSession) -> None:
-    """Delete every table that ``cut`` has left in the shared folder."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/textloom")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete every table that ``cut`` has left in the shared folder for this application; others are not touched."""
+    delete(spark, own_dir(spark))
