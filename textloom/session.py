@@ -42,15 +42,16 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+def cut(df: DataFrame, name: str = "cut", rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     The result no longer depends on the plan that made it, columns can still be
-    pruned, and it outlives the loss of any executor.
+    pruned, and it outlives the loss of any executor. ``rows_per_file`` keeps files
+    of very wide rows small (0: no limit).
     """
     spark = df.sparkSession
     path = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out
