@@ -50,10 +50,11 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents in training order, half as many characters again as there are, each source at most four times."""
+    """The documents in training order under weights that shift over the run, half as many characters again as there are, each source at most four times."""
     docs = table(spark, sf_dir, "documents")
     total = 1.5 * (docs.agg(F.sum(F.length("text"))).first()[0] or 0)
-    return mixing.positions(docs, mixing.constant_schedule(table(spark, sf_dir, "sources")), total, 4)
+    x = mixing.positions(docs, mixing.shifting_schedule(table(spark, sf_dir, "sources")), total, 4)
+    return x.select("doc_id", "source", "epoch", F.round("position", 6).alias("position"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +117,20 @@ used as (select *, chars * max_repeat < target as short, least(cast(chars * max_
 """
 
 
+# Weights that stand, move and stand again; the place in a source's demand is inverted piece by piece.
+POSITIONS = """
+with r as (select name as source, lower(trim(name)) as k, quota::double as q, 0.8 * (2 * (row_number() over (order by priority, name) - 1) / greatest(count(*) over () - 1, 1) - 1) as tilt from sources where quota > 0),
+d as (select doc_id, lower(trim(source)) as k, length(text)::bigint as size, ('0x' || substr(sha256('order|' || doc_id), 1, 15))::bigint as h from documents where length(text) > 0),
+total as (select 1.5 * sum(length(text)) as total from documents),
+h as (select r.*, have, q * total as demand, least(q * total, have * 4.0::double) as used, total from (select k, sum(size) as have from d group by 1) x join r on r.k = x.k, total),
+s as (select doc_id, d.k, coalesce(sum(size) over (partition by d.k order by h, doc_id rows between unbounded preceding and 1 preceding), 0) as start from d),
+e as (select doc_id, h.*, start, unnest(range(0, greatest(ceil((used - start) / have), 1)::bigint))::int as epoch from s join h on h.k = s.k where start < used),
+a as (select *, (start + epoch * have) / used * demand / total as x, q * (1 - tilt) as lo, q * (1 + tilt) as hi from e),
+b as (select *, 0.2 * lo as first, 0.2 * lo + 0.6 * q as second, (hi - lo) / 0.6 as slope from a)
+select doc_id, source, epoch, round(case when x < first then x / lo when x < second then 0.2 + case when abs(slope) < 1e-12 then (x - first) / lo else (sqrt(lo * lo + 2 * slope * (x - first)) - lo) / slope end
+  else least(1.0, 0.8 + (x - second) / hi) end, 6) as position from b
+"""
+
 # Lower case by Turkish rules, letters and digits, words; fields are cut before each label by a mark put in front of it.
 LOWER = "lower(replace(replace(text, 'İ', 'i'), 'I', 'ı'))"
 SPACE = r"[\s\x0b\p{Z}\p{Cf}]"
@@ -149,5 +164,6 @@ def oracle_sql() -> dict[str, str]:
         "p5_copies": KEYS + "select first_line_id as line_id, n as n_copies from classes",
         "p6_found": f"with h as {words_sql('holdout')}, t as {words_sql('train')}, pairs as ({SHARED.format(a='h', b='t', different='')}) select a as holdout_line_id, b as train_line_id from pairs",
         "p4_found": PLAN + "select run_id, source from used where short",
-        "p4_report": PLAN + "select run_id, source, quota, chars, round(target, 3) as target, round(used, 3) as used, round(used / sum(used) over (partition by run_id), 9) as share, short from used",
+        "p4_report": PLAN + "select run_id, source, quota, chars, round(target, 3) as target, round(used, 3) as used, round(used / sum(used) over (partition by run_id), 9) as share, short, case when short then round(chars * max_repeat / target, 6) end as dry_at from used",
+        "p4_positions": POSITIONS,
     }
