@@ -2,10 +2,11 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.llm import components, copies, neardup, overlap
+from textloom.llm import components, copies, neardup, overlap, sketch
 
 TR = str.maketrans({"İ": "i", "I": "ı"})
 SCHEMA = "line_id bigint, text string, id int, stripped string, n int, unit string, key string, feats string"
@@ -50,12 +51,12 @@ def corpus(seed, n=160, vocabulary_size=60):
     return [*rows, (n, None), (n + 1, ""), (n + 2, "  "), (n + 3, "kısa"), rows[0], (n + 4, "aynı " * 12), (n + 5, "aynı " * 12)]
 
 
-@pytest.mark.parametrize("seed, size, rare, hot", [(1, 60, 8, 1000), (2, 12, 2, 1000), (3, 400, 8, 1000), (4, 12, 0, 1000), (5, 60, 2, 3), (6, 12, 0, 2), (7, 60, 0, 1)])
-def test_unit_pairs_lose_nothing(spark, seed, size, rare, hot):
+@pytest.mark.parametrize("seed, size, rare, hot, local", [(1, 60, 8, 1000, 250), (2, 12, 2, 1000, 250), (3, 400, 8, 1000, 250), (4, 12, 0, 1000, 9), (5, 60, 2, 3, 250), (6, 12, 0, 2, 2), (7, 60, 0, 1, 1), (8, 60, 32, 1000, 3)])
+def test_unit_pairs_lose_nothing(spark, seed, size, rare, hot, local):
     rows = corpus(seed, vocabulary_size=size)
     _, units = neardup.make_units(make(spark, rows), "line_id", "text", 8)
     units_rows = {r.unit for r in units.select("unit").collect()}
-    got = {(r.a, r.b) for r in neardup.unit_pairs(units, 0.75, rare, hot).collect()}
+    got = {(r.a, r.b) for r in neardup.unit_pairs(units, 0.75, rare, hot, local).collect()}
     text = dict(rows)
     want = {(a, b) for a in units_rows for b in units_rows if a < b and share_enough(text[a], text[b], 8)}
     assert got == want and want
@@ -180,18 +181,58 @@ def test_overlap_report(spark):
     assert got == {("dev", None): (1, 1), ("dev", "web"): (1, 1), ("holdout", "web"): (1, 0)}
 
 
-@pytest.mark.parametrize("seed, size, crowded", [(0, 300, 200), (1, 300, 2), (2, 40, 3)])
-def test_overlap_of_lines_changed_in_place(spark, seed, size, crowded):
+@pytest.mark.parametrize("seed, size, crowded, rare, hot", [(0, 300, 100, 32, 1000), (1, 300, 0, 8, 1000), (2, 40, 3, 2, 3), (3, 40, 0, 0, 1)])
+def test_overlap_loses_nothing(spark, seed, size, crowded, rare, hot):
+    """Words changed in place, moved, shuffled one by one, taken out here and put in there; with and without seeds."""
     r = random.Random(seed)
     vocabulary = [f"söz{k}" for k in range(size)]
     held = [(i, [r.choice(vocabulary) for _ in range(r.randint(20, 40))]) for i in range(40)]
     train = []
-    for i, w in held:
-        w = list(w)
-        for k in r.sample(range(len(w)), len(w) // 4):
-            w[k] = r.choice(vocabulary)
-        train.append((1000 + i, w))
+    for i, base in held:
+        for kind in range(3):
+            w = list(base)
+            k = len(w) // 4
+            if kind == 0:
+                for j in r.sample(range(len(w)), k):
+                    w[j] = r.choice(vocabulary)
+            elif kind == 1:
+                r.shuffle(w)
+                w = w[k:] + [r.choice(vocabulary) for _ in range(k)]
+            else:
+                for j in sorted(r.sample(range(len(w)), k), reverse=True):
+                    w.pop(j)
+                for _ in range(k):
+                    w.insert(r.randrange(len(w)), r.choice(vocabulary))
+            train.append((1000 + 3 * i + kind, w))
     rows = lambda x: [(i, " ".join(w)) for i, w in x]
-    got = {(x.holdout_id, x.train_id) for x in overlap.overlaps(make(spark, rows(held)), make(spark, rows(train)), crowded=crowded).collect()}
+    got = {(x.holdout_id, x.train_id) for x in overlap.overlaps(make(spark, rows(held)), make(spark, rows(train)), crowded=crowded, rare=rare, hot=hot).collect()}
     want = {(i, j) for i, a in held for j, b in train if share_enough(" ".join(a), " ".join(b), 20)}
-    assert got == want
+    assert got == want and len(want) > 60
+
+
+def test_count_codes_rise():
+    n = np.arange(0, 3_000_000)
+    codes = sketch.count_code(n).astype(int)
+    assert (np.diff(codes) >= 0).all() and (codes[:128] == n[:128]).all() and sketch.count_code(np.array([2**40])) == 255
+
+
+@pytest.mark.parametrize("bits", [10, 18])
+def test_count_table(spark, bits):
+    r = random.Random(bits)
+    rows = [[r.randrange(-(2**31), 2**31) if r.random() < 0.5 else r.randrange(40) for _ in range(r.randint(0, 30))] for _ in range(300)]
+    table = sketch.count_table(spark.createDataFrame([(x,) for x in rows], "feats array<int>"), "feats", bits)
+    want = Counter(v % (1 << bits) for x in rows for v in x)
+    assert len(table) == 1 << bits and all(table[p] == sketch.count_code(np.array([n]))[0] for p, n in want.items()) and (table > 0).sum() == len(want)
+
+
+def test_a_key_that_a_third_of_the_lines_have(spark):
+    """It is marked where it is made and doesn't pass through the shuffle."""
+    base = [f"kelime{k}" for k in range(16)]
+    rows = [(i, " ".join([*base, *(f"kendi{i}x{k}" for k in range(4))])) for i in range(2000)] + [(5000 + i, " ".join(f"başka{i % 700}x{k}" for k in range(11))) for i in range(1400)]
+    _, units = neardup.make_units(make(spark, rows), "line_id", "text", 8)
+    counts = sketch.count_table(units, "feats", 20)
+    masks = neardup.mask_table(units, counts, rare=4).toPandas()
+    cold = masks[masks.n > 0]
+    assert masks[masks.n == 0].key.nunique() == 3 and not set(masks[masks.n == 0].key) & set(cold.key)
+    assert len(cold) == 0 or cold.groupby("key").size().max() < 10
+    assert set(-masks[masks.n < 0].n) == {20} and len(masks[masks.n < 0]) == 2000

@@ -19,7 +19,11 @@ of two are built over the frequent ones only.
 
 A bucket of more than ``HOT`` rows isn't joined. Its lines get the masks of weight 3
 over their first t + 3 places, which cover the same pairs by the same argument and
-spread them over far more buckets.
+spread them over far more buckets. A key that more than ``LOCAL`` lines of one batch
+have is known to be crowded where it is made: only a mark and its lines' ids are
+sent, so a key that a third of all lines have doesn't meet in one task. What is
+still large at weight 3 is joined as it is; no window stands before that join, so
+adaptive execution can split it.
 
 Copies are collapsed first, so a group of copies of any size enters the tables as
 one row. Candidates are compared by a 64-bit parity sketch (a lower bound of the
@@ -31,7 +35,7 @@ words have no partner; repeated rows with one id count once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -43,14 +47,16 @@ from pyspark.sql import functions as F
 from textloom.functions.text import hash128, letters_digits
 from textloom.llm.components import components
 from textloom.llm.copies import MIN_CHARS, field_string
-from textloom.llm.sketch import bucket_of, count_table, flat, mix, multiset_features, parity_sketch, starts_of, word_lines
+from textloom.llm.sketch import bits_for, count_table, flat, held_by, mix, multiset_features, parity_sketch, starts_of, word_lines
 from textloom.session import cut
 
 MIN_WORDS = 20
 SHARE = 0.75
-RARE = 8
+RARE = 32
 #: Rows of a bucket up to which all its lines are compared with one another.
 HOT = 1000
+#: Rows of a bucket within one batch from which on it is crowded without being counted any further.
+LOCAL = 250
 
 ROWS = "id bigint, k1 bigint, k2 bigint, f1 bigint, f2 bigint, chars int, n int, mh bigint, feats array<int>"
 
@@ -87,7 +93,7 @@ def choices(size: int, weight: int) -> np.ndarray:
 def mask_keys(features: np.ndarray, n: np.ndarray, counts: np.ndarray, share: float, rare: int, weight: int = 2) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) for every mask of every row."""
     row = np.repeat(np.arange(len(n)), n)
-    held = counts[bucket_of(features)].astype(np.int64)
+    held = held_by(features, counts).astype(np.int64)
     order = np.lexsort((features, held, row))
     f, c, r = features[order].astype(np.uint64), held[order], row[order]
     place = np.arange(len(f)) - np.repeat(starts_of(n), n)
@@ -111,21 +117,43 @@ def mask_keys(features: np.ndarray, n: np.ndarray, counts: np.ndarray, share: fl
     return np.concatenate(rows), np.concatenate(keys).view(np.int64)
 
 
-def mask_table(units: DataFrame, counts: np.ndarray, share: float = SHARE, rare: int = RARE, weight: int = 2) -> DataFrame:
-    """(key, unit, n, sketch): the hash tables of all masks, as rows. ``units`` has unit, n and feats."""
-    sent = units.sparkSession.sparkContext.broadcast(counts)
+def mask_table(units: DataFrame, counts: np.ndarray, share: float = SHARE, rare: int = RARE, weight: int = 2, local: int = LOCAL, only: np.ndarray | None = None) -> DataFrame:
+    """(key, unit, n, sketch): the hash tables of all masks, as rows. ``units`` has unit and feats.
+
+    Rows of keys that are crowded within a batch are replaced: n is 0 in a mark for
+    the key, and below 0 in one row for each of its lines. ``only`` is a count table
+    of keys; rows whose keys it doesn't hold are left out.
+    """
+    sent = units.sparkSession.sparkContext.broadcast((counts, only))
+    names = ["key", "unit", "n", "sketch"]
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, only = sent.value
         for b in batches:
+            unit, (f, n) = b.column("unit").to_numpy(), flat(b.column("feats"))
+            f, first, parts = f.view(np.uint32), np.concatenate([[0], np.cumsum(n)]), []
             for lo in range(0, b.num_rows, 2000):
-                part = b.slice(lo, 2000)
-                f, n = flat(part.column("feats"))
-                f = f.view(np.uint32)
-                row, key = mask_keys(f, n, sent.value, share, rare, weight)
-                unit, sketch = part.column("unit").to_numpy()[row], parity_sketch(f, n)[row]
-                for i in range(0, len(row), 200_000):
-                    at = slice(i, i + 200_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(unit[at]), pa.array(n[row[at]].astype(np.int32)), pa.array(sketch[at])], names=["key", "unit", "n", "sketch"])
+                hi = min(lo + 2000, b.num_rows)
+                row, key = mask_keys(f[first[lo] : first[hi]], n[lo:hi], counts, share, rare, weight)
+                if only is not None:
+                    some = held_by(key.view(np.uint64), only) > 0
+                    row, key = row[some], key[some]
+                parts.append((row + lo, key))
+            if not parts:
+                continue
+            row, key = (np.concatenate(x) for x in zip(*parts))
+            sketch, n = parity_sketch(f, n), n.astype(np.int32)
+            cols = [key, unit[row], n[row], sketch[row]]
+            value, of, times = np.unique(key, return_inverse=True, return_counts=True)
+            if len(times) and times.max() > local:
+                crowd = np.unique(row[times[of] > local])
+                marks = value[times > local]
+                kept = times[of] <= local
+                none = np.zeros(len(marks), np.int64)
+                new = [np.concatenate([marks, mix(unit[crowd]).view(np.int64)]), np.concatenate([none, unit[crowd]]), np.concatenate([none.astype(np.int32), -n[crowd]]), np.concatenate([none, sketch[crowd]])]
+                cols = [np.concatenate([x[kept], y]) for x, y in zip(cols, new)]
+            for i in range(0, len(cols[0]), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 200_000]) for c in cols], names=names)
 
     return units.select("unit", "feats").mapInArrow(keys, "key bigint, unit bigint, n int, sketch bigint")
 
@@ -141,28 +169,38 @@ def within(a: str, b: str, share: float):
     return (F.least(f"{a}.n", f"{b}.n") >= least) & (apart <= F.col(f"{a}.n") + F.col(f"{b}.n") - 2 * least)
 
 
-def met_in(a: DataFrame, b: DataFrame, share: float) -> DataFrame:
-    """(a, b), a < b: units with a key in common that sizes and sketches allow."""
-    met = a.alias("a").join(b.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.unit") < F.col("b.unit")) & within("a", "b", share))
+def met_in(table: DataFrame, share: float, sides: bool) -> DataFrame:
+    """(a, b): units with a key in common that sizes and sketches allow; a < b, or a even and b odd where there are ``sides``."""
+    a, b = (table.where("unit % 2 = 0"), table.where("unit % 2 <> 0")) if sides else (table, table)
+    order = F.lit(True) if sides else F.col("a.unit") < F.col("b.unit")
+    met = a.alias("a").join(b.alias("b"), (F.col("a.key") == F.col("b.key")) & order & within("a", "b", share))
     return met.select(F.col("a.unit").alias("a"), F.col("b.unit").alias("b")).distinct()
 
 
-def unit_pairs(units: DataFrame, share: float = SHARE, rare: int = RARE, hot: int = HOT) -> DataFrame:
-    """(a, b), a < b: pairs of units that share enough words. No pair is missed."""
-    counts = count_table(units)
+def met_pairs(units: DataFrame, tables: Callable[[DataFrame, int], DataFrame], share: float = SHARE, hot: int = HOT, sides: bool = False) -> DataFrame:
+    """(a, b): all candidates. ``tables`` gives the mask table of some units at a weight."""
     # The count uses the sorting by key that the join needs anyway; single rows go before the join.
     # The join needs keys that aren't null; said here, all that reads the table reads one shuffle.
-    table = mask_table(units, counts, share, rare).where("key is not null").withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    cold = table.where(F.col("held").between(2, hot))
+    of_key = Window.partitionBy("key")
+    table = tables(units, 2).where("key is not null").withColumns({"held": F.count(F.lit(1)).over(of_key), "marked": F.min(F.abs("n")).over(of_key) == 0})
+    cold = table.where(F.col("held").between(2, hot) & ~F.col("marked") & (F.col("n") > 0))
     # All columns are kept, so that this reads the same shuffle as the join.
-    crowded = table.where(F.col("held") > hot).groupBy("unit").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch"))
+    crowded = table.where((F.col("n") < 0) | ((F.col("n") > 0) & ((F.col("held") > hot) | F.col("marked")))).groupBy("unit").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch"))
     crowded = crowded.select(F.col("unit").alias("a"), F.lit(None).cast("bigint").alias("b"), "n", "sketch")
-    met = met_in(cold, cold, share).withColumns({"n": F.lit(0), "sketch": F.lit(0).cast("bigint")})
+    met = met_in(cold, share, sides).withColumns({"n": F.lit(0), "sketch": F.lit(0).cast("bigint")})
     met = cut(met.unionByName(crowded), "met").select("a", "b")
     crowded, met = met.where("b is null").select(F.col("a").alias("unit")), met.where("b is not null")
     if crowded.limit(1).count():
-        deep = mask_table(units.join(crowded, "unit", "left_semi"), counts, share, rare, 3)
-        met = met.unionByName(met_in(deep, deep, share)).distinct()
+        deep = tables(units.join(crowded, "unit", "left_semi"), 3)
+        met = met.unionByName(met_in(deep, share, sides)).distinct()
+    return met
+
+
+def unit_pairs(units: DataFrame, share: float = SHARE, rare: int = RARE, hot: int = HOT, local: int = LOCAL) -> DataFrame:
+    """(a, b), a < b: pairs of units that share enough words. No pair is missed."""
+    counts = count_table(units, "feats", bits_for(units.agg(F.sum("n")).first()[0] or 0))
+    none = np.iinfo(np.int64).max  # nothing is marked at weight 3
+    met = met_pairs(units, lambda x, weight: mask_table(x, counts, share, rare, weight, local if weight == 2 else none), share, hot)
     side = lambda x: units.select(F.col("unit").alias(x), F.col("n").alias(f"n{x}"), F.col("feats").alias(f"feats{x}"))
     both = met.join(side("a"), "a").join(side("b"), "b")
     return both.where(F.size(F.array_intersect("featsa", "featsb")) >= shared_needed("na", "nb", share)).select("a", "b")
@@ -176,7 +214,11 @@ def make_units(df: DataFrame, id_col: str, text_col: str, min_words: int) -> tup
 
 
 def found(df: DataFrame, id_col: str = "line_id", text_col: str = "text", min_words: int = MIN_WORDS, share: float = SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(line_id_a, line_id_b): all pairs within the radius that are not copies of one another."""
+    """(line_id_a, line_id_b): all pairs within the radius that are not copies of one another.
+
+    The result lists every pair of lines, so a text with many copies beside another
+    with many copies gives their product; ``groups`` says the same in one row a line.
+    """
     rows, units = make_units(df, id_col, text_col, min_words)
     pairs = unit_pairs(units, share)
     # Copies: the same letters in order or the same fields; fields may be those of a third line with the same letters.

@@ -10,6 +10,12 @@ hashes are joined across the splits; the seeds of a pair are chained where they
 are collinear, the chains are extended by alignment, and the words covered are
 counted. Whether a pair counts is then decided exactly, by its words in common.
 
+The definition knows no order of words, and a fingerprint that more than ``CROWDED``
+lines hold would join too much. The rest is exact: lines meet across the splits by
+the covering masks of ``neardup``, which lose no pair that shares enough words, in
+whatever order and however often they stand in other lines. Masks of the train
+split are made only where the held-out split has the same key.
+
 Defined results: null and blank texts and lines with fewer than ``min_words``
 words have no overlap; a missing source is reported as null; repeated rows with
 one id count once; lines of one split with the same words in order are handled as
@@ -25,29 +31,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.neardup import MIN_WORDS, SHARE, shared_needed, within
-from textloom.llm.sketch import bucket_of, count_table, flat, mix, multiset_features, parity_sketch, starts_of, word_lines
+from textloom.llm.neardup import HOT, LOCAL, MIN_WORDS, RARE, SHARE, mask_table, met_pairs, shared_needed, within
+from textloom.llm.sketch import bits_for, count_code, count_table, flat, held_by, mix, multiset_features, parity_sketch, starts_of, word_lines
 from textloom.session import cut
 
 GRAM = 2
 WINDOW = 2
-#: Rows up to which a two-word hash is a fingerprint by itself.
-CROWDED = 200
-SCHEMA = "id bigint, n int, sketch bigint, whole bigint, whole2 bigint, seq array<int>"
+#: Rows up to which a hash is a fingerprint; pairs without a seed then meet by their masks.
+CROWDED = 100
+#: Keys a line is expected to have, for the size of the table of keys.
+PER_LINE = 64
+SCHEMA = "id bigint, n int, sketch bigint, whole bigint, whole2 bigint, seq array<int>, feats array<int>"
 
 
 def sequences(df: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(id, n, sketch, whole, whole2, seq): the words of a line in order as 32-bit hashes."""
+    """(id, n, sketch, whole, whole2, seq, feats): the words of a line in order as 32-bit hashes, and as a multiset."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words, n = flat(b.column("words"))
-            sketch = parity_sketch(multiset_features(words, n), n)
+            f = multiset_features(words, n)
+            sketch = parity_sketch(f, n)
             w = words.view(np.uint64)
             at = (np.arange(len(w)) - np.repeat(starts_of(n), n)).astype(np.uint64)
             whole = [np.add.reduceat(mix(w + at * np.uint64(g)), starts_of(n)).view(np.int64) if len(n) else np.zeros(0, np.int64) for g in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
-            seq = pa.ListArray.from_arrays(pa.array(np.append(starts_of(n), n.sum()).astype(np.int32)), pa.array((mix(w) >> np.uint64(32)).astype(np.uint32).view(np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n.astype(np.int32)), pa.array(sketch), *map(pa.array, whole), seq], names=[x.split()[0] for x in SCHEMA.split(", ")])
+            seq, feats = (pa.ListArray.from_arrays(pa.array(np.append(starts_of(n), n.sum()).astype(np.int32)), pa.array(v.view(np.int32))) for v in ((mix(w) >> np.uint64(32)).astype(np.uint32), f))
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n.astype(np.int32)), pa.array(sketch), *map(pa.array, whole), seq, feats], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
     return word_lines(df, id_col, text_col, min_words).select("id", "words").mapInArrow(rows, SCHEMA)
 
@@ -65,29 +74,19 @@ def grams(seq: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def winnow(gram: np.ndarray, n: np.ndarray, counts: np.ndarray, crowded: int = CROWDED) -> tuple[np.ndarray, np.ndarray]:
-    """(place, key) selected: the least hash of every WINDOW in a row, rare hashes first, those held once last.
-
-    Where even the least is held by more than ``crowded`` rows, all hashes of the
-    window together are the key: lines that share the window's words share it too.
-    """
-    held = counts[bucket_of(gram)].astype(np.uint64)
+def winnow(gram: np.ndarray, n: np.ndarray, counts: np.ndarray, crowded: int = CROWDED) -> np.ndarray:
+    """The places selected: the least hash of every WINDOW in a row, rare hashes first, those held once last and then dropped."""
+    held = held_by(gram, counts).astype(np.uint64)
     # Hashes that nothing else has come last, so that they don't take a window from one that can meet.
     order = (np.where(held > 1, held, np.uint64(1 << 31)) << np.uint64(32)) + gram
     place = np.arange(len(gram))
     end = np.repeat(starts_of(n) + n - GRAM + 1, n)
-    lo, whole_key, meets = place.copy(), mix(gram.astype(np.uint64)), held > 1
+    lo = place.copy()
     for k in range(1, WINDOW):
         other = np.minimum(place + k, len(gram) - 1)
         lo = np.where((place + k < end) & (order[other] < order[lo]), other, lo)
-        whole_key = mix(whole_key + gram[other])
-        meets &= held[other] > 1
-    windows = place[place + WINDOW <= end]
-    many = held[lo[windows]] > crowded
-    single = np.unique(lo[windows[~many]])
-    single = single[held[single] > 1]
-    wide = windows[many & meets[windows]]
-    return np.concatenate([single, wide]), np.concatenate([gram[single].astype(np.int64), whole_key[wide].view(np.int64) | np.int64(-(1 << 62))])
+    single = np.unique(lo[place[place + WINDOW <= end]])
+    return single[(held[single] > 1) & (held[single] <= count_code(np.array([crowded]))[0])]
 
 
 def fingerprints(units: DataFrame, counts: np.ndarray, crowded: int = CROWDED) -> DataFrame:
@@ -97,7 +96,9 @@ def fingerprints(units: DataFrame, counts: np.ndarray, crowded: int = CROWDED) -
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seq, n = flat(b.column("seq"))
-            at, key = winnow(grams(seq, n), n, sent.value, crowded)
+            gram = grams(seq, n)
+            at = winnow(gram, n, sent.value, crowded)
+            key = gram[at].astype(np.int64)
             row = np.repeat(np.arange(len(n)), n)[at]
             cols = [key, b.column("unit").to_numpy()[row], (at - starts_of(n)[row]).astype(np.int32), n[row].astype(np.int32), b.column("sketch").to_numpy()[row]]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), names=["key", "unit", "place", "n", "sketch"])
@@ -152,25 +153,52 @@ def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         share = []
         for seeds, x, y in zip(b.column("seeds").to_pylist(), b.column("seqh").to_pylist(), b.column("seqt").to_pylist()):
-            at = np.unique(np.array([[s["h"], s["t"]] for s in seeds]), axis=0)
-            share.append(float(chained(at, np.array(x), np.array(y)).mean()))
+            x, y = np.array(x), np.array(y)
+            if seeds:
+                at = np.unique(np.array([[s["h"], s["t"]] for s in seeds]), axis=0)
+            else:  # met by masks: the words that both have once
+                (u, i, k), (v, j, m) = (np.unique(w, return_index=True, return_counts=True) for w in (x, y))
+                _, p, q = np.intersect1d(u[k == 1], v[m == 1], return_indices=True)
+                at = np.stack([i[k == 1][p], j[m == 1][q]], 1)
+            share.append(float(chained(at, x, y).mean()))
         yield pa.RecordBatch.from_arrays([b.column("h"), b.column("t"), b.column("shared"), pa.array(share, pa.float64())], names=["h", "t", "shared", "coverage"])
 
 
-def overlaps(holdout: DataFrame, train: DataFrame, id_col: str = "line_id", text_col: str = "text", min_words: int = MIN_WORDS, share: float = SHARE, crowded: int = CROWDED) -> DataFrame:
+def masked(units: DataFrame, bits: int, share: float, rare: int, hot: int) -> DataFrame:
+    """(h, t): all pairs across the splits whose masks, sizes and sketches allow that they share enough words."""
+    # The split goes with the id: even for held-out lines.
+    sided = cut(units.select((F.col("unit") * 2 + (F.col("side") == "t").cast("int")).alias("unit"), "n", "feats"), "sided")
+    counts = count_table(sided, "feats", bits)
+    none = np.iinfo(np.int64).max
+
+    def tables(x: DataFrame, weight: int) -> DataFrame:
+        local = LOCAL if weight == 2 else none
+        held, train = x.where("unit % 2 = 0"), x.where("unit % 2 <> 0")
+        # Keys of the held-out split; places that several keys share only let a few more through.
+        keys = mask_table(held, counts, share, rare, weight, none).select("key")
+        some = count_table(keys, "key", bits_for(PER_LINE * held.count()))
+        return mask_table(held, counts, share, rare, weight, local).unionByName(mask_table(train, counts, share, rare, weight, local, some))
+
+    met = met_pairs(sided, tables, share, hot, sides=True)
+    return met.select(F.shiftright("a", 1).alias("h"), F.shiftright("b", 1).alias("t"))
+
+
+def overlaps(holdout: DataFrame, train: DataFrame, id_col: str = "line_id", text_col: str = "text", min_words: int = MIN_WORDS, share: float = SHARE, crowded: int = CROWDED, rare: int = RARE, hot: int = HOT) -> DataFrame:
     """(holdout_id, train_id, shared, coverage) of all pairs that share at least ``share`` of the longer line's words."""
     tagged = sequences(holdout, id_col, text_col, min_words).withColumn("side", F.lit("h")).unionByName(sequences(train, id_col, text_col, min_words).withColumn("side", F.lit("t")))
     rows = cut(tagged, "sequences")
-    units = cut(rows.groupBy("side", "whole", "whole2").agg(F.min("id").alias("unit"), *(F.first(c).alias(c) for c in ("n", "sketch", "seq"))), "sequence-units")
+    units = cut(rows.groupBy("side", "whole", "whole2").agg(F.min("id").alias("unit"), *(F.first(c).alias(c) for c in ("n", "sketch", "seq", "feats"))), "sequence-units")
 
     def only_grams(seq: np.ndarray, n: np.ndarray) -> np.ndarray:
         g = grams(seq, n)
         return g[g != 0]
 
-    counts = count_table(units, "seq", only_grams)
+    total = bits_for(units.agg(F.sum("n")).first()[0] or 0)
+    counts = count_table(units, "seq", total, only_grams)
     prints = {s: fingerprints(units.where(F.col("side") == s), counts, crowded).alias(s) for s in "ht"}
     met = prints["h"].join(prints["t"], (F.col("h.key") == F.col("t.key")) & within("h", "t", share))
-    pairs = met.groupBy(F.col("h.unit").alias("h"), F.col("t.unit").alias("t")).agg(F.collect_set(F.struct(F.col("h.place").alias("h"), F.col("t.place").alias("t"))).alias("seeds"))
+    seeded = met.groupBy(F.col("h.unit").alias("h"), F.col("t.unit").alias("t")).agg(F.collect_set(F.struct(F.col("h.place").alias("h"), F.col("t.place").alias("t"))).alias("seeds"))
+    pairs = seeded.join(masked(units, total, share, rare, hot), ["h", "t"], "full_outer")
     for s in "ht":
         pairs = pairs.join(units.where(F.col("side") == s).select(F.col("unit").alias(s), F.col("n").alias(f"n{s}"), F.col("seq").alias(f"seq{s}")), s)
     # Words in common with repetition: every distinct word counts as often as the line with fewer of it has it.

@@ -9,10 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import once, word_hashes, word_string
+from textloom.functions.text import once, word_string
 
-#: Size of the table of word counts. It is the same for any input: 2 MB when broadcast.
-COUNT_BITS = 20
+#: The table of counts has a place for about PER_PLACE features, between 2**LEAST_BITS and 2**MOST_BITS of one byte each: 16 MB at most.
+LEAST_BITS, MOST_BITS, PER_PLACE = 20, 24, 4
+#: Counts below this are exact in the table, larger ones within a fifth.
+EXACT = 128
+CHUNK = 1 << 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -71,8 +74,19 @@ def parity_sketch(features: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def bucket_of(features: np.ndarray) -> np.ndarray:
-    return (features & np.uint32((1 << COUNT_BITS) - 1)).astype(np.int64)
+def held_by(features: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The count codes of features (or of the low bits of keys)."""
+    return table[(features & features.dtype.type(len(table) - 1)).astype(np.int64)]
+
+
+def count_code(n: np.ndarray) -> np.ndarray:
+    """Counts as one byte: exact below EXACT, then four steps for every doubling. Larger counts never have smaller codes."""
+    large = EXACT + np.floor(4 * np.log2(np.maximum(n, EXACT) / EXACT))
+    return np.where(n < EXACT, n, np.minimum(large, 255)).astype(np.uint8)
+
+
+def bits_for(features: int) -> int:
+    return int(min(MOST_BITS, max(LEAST_BITS, np.ceil(np.log2(max(1, features) / PER_PLACE)))))
 
 
 def word_lines(df: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
@@ -83,32 +97,45 @@ def word_lines(df: DataFrame, id_col: str, text_col: str, min_words: int) -> Dat
     return lines.where(F.size("words") >= min_words).withColumn("words", F.transform("words", lambda w: F.xxhash64(w)))
 
 
-def count_table(features: DataFrame, column: str = "feats", prepare: Callable | None = None) -> np.ndarray:
-    """How many times a feature of each bucket occurs, over all rows, at most 65,535 each.
+def count_table(df: DataFrame, column: str, bits: int, prepare: Callable | None = None) -> np.ndarray:
+    """Codes of how many times a feature of each place occurs, over all rows: 2**bits bytes.
 
-    ``prepare`` makes 32-bit features from the values and row lengths of ``column``;
-    without it the values are features.
-
-    A bucket counts every feature that falls into it, so the true number of rows
-    of a feature is never larger. The table has 2**COUNT_BITS places at any scale.
+    ``prepare`` makes features from the values and row lengths of an array ``column``;
+    without it the values are features. A place counts every feature that falls
+    into it, so the true number of rows of a feature is never larger. The sums are made
+    on the executors; the driver gets the finished bytes.
     """
+    size = 1 << bits
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNT_BITS, np.int64)
+        total = np.zeros(size, np.uint32)
         for b in batches:
-            f, n = flat(b.column(0))
-            f = prepare(f, n) if prepare else f.view(np.uint32)
-            total += np.bincount(bucket_of(f), minlength=1 << COUNT_BITS)
+            if pa.types.is_list(b.column(0).type):
+                f, n = flat(b.column(0))
+                f = prepare(f, n) if prepare else f.view(np.uint32)
+            else:
+                f = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            place, n = np.unique(f & f.dtype.type(size - 1), return_counts=True)
+            total[place.astype(np.int64)] += n.astype(np.uint32)
         at = np.flatnonzero(total)
         for i in range(0, len(at), 100_000):
             part = at[i : i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part].astype(np.int64))], names=["place", "n"])
 
-    counts = features.select(column).mapInArrow(partial, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-    table = np.zeros(1 << COUNT_BITS, np.uint16)
-    got = counts.select("bucket", F.least(F.col("n"), F.lit(65535)).cast("int").alias("n")).toArrow()
-    table[got.column("bucket").to_numpy()] = got.column("n").to_numpy().astype(np.uint16)
+    def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            (place, n), (count, _) = flat(b.column("place")), flat(b.column("n"))
+            first = np.concatenate([[0], np.cumsum(n)])
+            for r in range(b.num_rows):
+                out = np.zeros(min(CHUNK, size), np.uint8)
+                out[place[first[r] : first[r + 1]]] = count_code(count[first[r] : first[r + 1]])
+                yield pa.RecordBatch.from_arrays([b.column("chunk").slice(r, 1), pa.array([out.tobytes()], pa.binary())], names=["chunk", "codes"])
+
+    counts = df.select(column).mapInArrow(partial, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    # A chunk has at most CHUNK places.
+    chunks = counts.groupBy(F.floor(F.col("place") / CHUNK).cast("int").alias("chunk")).agg(F.collect_list(F.struct((F.col("place") % CHUNK).alias("p"), "n")).alias("x"))
+    table = np.zeros(size, np.uint8)
+    for r in chunks.select("chunk", F.col("x.p").alias("place"), F.col("x.n").alias("n")).mapInArrow(dense, "chunk int, codes binary").collect():
+        part = np.frombuffer(r.codes, np.uint8)
+        table[r.chunk * CHUNK : r.chunk * CHUNK + len(part)] = part
     return table
-
-
-__all__ = ["COUNT_BITS", "bucket_of", "count_table", "flat", "mix", "multiset_features", "occurrences", "parity_sketch", "starts_of", "word_hashes", "word_lines"]
