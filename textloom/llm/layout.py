@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,9 @@ from textloom.llm.sketch import mix
 
 LETTER, DIGIT, SPACE, SIGN = 0, 1, 2, 3
 BASE, ENDING = 28, 5
+#: An odd factor and its inverse modulo 2**64.
+FACTOR = 0x9E3779B97F4A7C15
+INVERSE = pow(FACTOR, -1, 1 << 64)
 #: A cell with a predicate is a clause from so many words on, or when it is the whole line.
 CLAUSE_WORDS = 4
 
@@ -95,13 +99,13 @@ class Lines:
         at = np.where((self.kind[at] == SPACE) & (self.data[at] != 10), np.minimum(at + 1, n - 1), at)
         return sign[at] & (closing[end[at]] > closing[at]) & (self.kind[end[at]] == SPACE)
 
+    @cached_property
     def word_hashes(self) -> np.ndarray:
-        """The words by their length and first bytes."""
-        h = (self.word_hi - self.word_lo).astype(np.uint64)
-        for k in range(16):
-            at = self.word_lo + k
-            h = np.where(at < self.word_hi, mix(h * np.uint64(0x100000001B3) + self.data[np.minimum(at, len(self.data) - 1)]), h)
-        return h.view(np.int64)
+        """Words as numbers: a polynomial over their bytes, taken from running sums over all bytes."""
+        n = len(self.data)
+        power, back = (np.multiply.accumulate(np.full(n, x, np.uint64)) for x in (FACTOR, INVERSE))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power)])
+        return mix((total[self.word_hi] - total[self.word_lo]) * back[self.word_lo]).view(np.int64)
 
     def bigrams(self) -> tuple[np.ndarray, np.ndarray]:
         """(place, pair of letters or of letter and edge)."""
@@ -133,8 +137,8 @@ class Lines:
         out["cells"] = cells
         out["written"] = np.bincount(row, in_cell * says, n).astype(np.int64)
         out["clause"] = (np.bincount(row[says & ((in_cell >= CLAUSE_WORDS) | (cells[row] == 1))], minlength=n) > 0).astype(np.int64)
-        keys = np.unique((self.word_row.astype(np.int64) << 40) | (self.word_hashes() & ((1 << 40) - 1)))
-        out["repeated"] = words - np.bincount(keys >> 40, minlength=n)
+        keys = np.sort((self.word_row.astype(np.int64) << 40) | (self.word_hashes & ((1 << 40) - 1)))
+        out["repeated"] = np.bincount(keys[1:][keys[1:] == keys[:-1]] >> 40, minlength=n)
         # Words with letters and digits, or with signs of code inside.
         tokens = int(self.token[-1]) + 1 if len(self.token) else 0
         has = lambda mask: np.bincount(self.token[mask], minlength=tokens) > 0

@@ -89,7 +89,7 @@ class Language:
             if len(self.endings):
                 rate = np.where(self.endings[place] == code, self.rates[place], rate)
         predicate = which[unknown | (rate >= LIFT * self.base)]
-        words = lines.word_hashes()
+        words = lines.word_hashes
         place = np.minimum(np.searchsorted(self.common, words), max(len(self.common) - 1, 0))
         return predicate, np.flatnonzero(self.common[place] == words) if len(self.common) else np.zeros(0, np.int64)
 
@@ -116,7 +116,7 @@ def learn(lines: DataFrame) -> Language:
                 parts["e"].append((known % BASE**k + (k << 32), np.ones(len(known)), closes.astype(float)))
             _, pair = x.bigrams()
             parts["b"].append((pair, np.ones(len(pair)), np.zeros(len(pair))))
-            words = x.word_hashes()
+            words = x.word_hashes
             parts["w"].append((words, np.ones(len(words)), np.zeros(len(words))))
             for p in parts.values():
                 p[:] = [added(p)]
