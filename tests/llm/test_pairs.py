@@ -129,6 +129,14 @@ def test_copies_by_form_and_field_order(spark):
     assert {tuple(r) for r in copies.copy_counts(make(spark, rows)).collect()} == {(3, 5)}
 
 
+def test_the_same_letters_divided_in_two_ways(spark):
+    """Line 2 has the letters of 1 in other fields; 3 has the fields of 1 in another order, 4 those of 2."""
+    head, tail = "Satıcı adı: Konak pazar yeri bir iki üç", "Yorum: güzel ve hızlı geldi"
+    one, two = f"{head} • Not: iyi • {tail}", f"{head} Not: iyi • {tail}"
+    rows = [(5, one), (2, two), (9, f"{tail} • {head} • Not: iyi"), (4, f"{tail} • {head} Not: iyi"), (7, "Başka: bir satır burada duruyor • Yorum: hiç ilgisi yok işte")]
+    assert {tuple(r) for r in copies.found(make(spark, rows)).collect()} == {(2, x) for x in (4, 5, 9)}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_copies_against_brute_force(spark, seed):
     r = random.Random(seed)

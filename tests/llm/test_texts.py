@@ -307,6 +307,17 @@ def test_every_row_once(spark):
     assert packing.containers(docs.where("doc_id < -1")).count() == 0
 
 
+def test_sources_apart_and_copies(spark):
+    """Sources and copies turn containers away; every check of the result is 0, and without ``apart`` it isn't."""
+    r = random.Random(2)
+    texts = [" ".join(r.choice(["kelime", "söz", "metin", "uzun"]) for _ in range(r.randint(1, 60))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, r.choice(texts), r.choice(["web", "forum", "wiki", None])) for i in range(400)], "doc_id bigint, text string, source string")
+    apart = (("web", "wiki"), ("forum", "wiki"))
+    both = {name: packing.checks(packing.containers(docs, capacity=120, apart=a), docs, 120, apart).first().asDict() for name, a in (("kept", apart), ("free", ()))}
+    assert both["kept"] == {"documents": 400} | dict.fromkeys(("missing", "twice", "overfull", "own_shared", "copies_together", "apart_together"), 0)
+    assert both["free"]["apart_together"] > 0 and both["free"]["copies_together"] == 0
+
+
 # ---- leaks ----
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import hash128, letters_digits, once, turkish_lower
+from textloom.llm.components import components
 from textloom.session import cut
 
 MIN_CHARS = 40
@@ -72,13 +73,19 @@ def copy_classes(df: DataFrame, id_col: str = "line_id", text_col: str = "text",
     keyed = cut(keyed_lines(df, id_col, text_col, min_chars), "keyed")
     # Lines with the same letters in order form a class; classes that contain lines
     # with the same sorted fields are one class.
-    plain = keyed.groupBy("k1", "k2").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(F.when(F.col("f1").isNotNull(), F.struct("f1", "f2"))).alias("f"))
-    plain = plain.select(
-        "k1", "k2", "lo", "hi",
-        F.coalesce(F.col("f.f1"), F.col("k1")).alias("g1"), F.coalesce(F.col("f.f2"), F.col("k2")).alias("g2"),
-    )
-    whole = plain.groupBy("g1", "g2").agg(F.min("lo").alias("first_id"), F.max("hi").alias("last_id")).where("first_id < last_id")
-    of_plain = plain.join(whole, ["g1", "g2"]).select("k1", "k2", "first_id")
+    fields = F.when(F.col("f1").isNotNull(), F.struct("f1", "f2"))
+    plain = cut(keyed.groupBy("k1", "k2").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(fields).alias("f"), F.max(fields).alias("g")), "classes")
+    if plain.where("f <> g").limit(1).count():
+        # The same letters divided into fields in two ways tie further classes together.
+        own = keyed.where("f1 is not null").select("k1", "k2", "f1", "f2").distinct().join(plain.select("k1", "k2", "lo"), ["k1", "k2"])
+        ties = own.join(own.groupBy("f1", "f2").agg(F.min("lo").alias("least")), ["f1", "f2"])
+        root = components(ties.select(F.col("least").alias("a"), F.col("lo").alias("b")).where("a < b"))
+        tied = plain.join(root.withColumnRenamed("id", "lo"), "lo", "left").withColumn("g1", F.coalesce("root", "lo")).withColumn("g2", F.lit(0).cast("bigint"))
+    else:
+        tied = plain.withColumns({"g1": F.coalesce("f.f1", "k1"), "g2": F.coalesce("f.f2", "k2")})
+    tied = tied.select("k1", "k2", "lo", "hi", "g1", "g2")
+    whole = tied.groupBy("g1", "g2").agg(F.min("lo").alias("first_id"), F.max("hi").alias("last_id")).where("first_id < last_id")
+    of_plain = tied.join(whole, ["g1", "g2"]).select("k1", "k2", "first_id")
     return keyed.join(of_plain, ["k1", "k2"]).select("id", "first_id")
 
 

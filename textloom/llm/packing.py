@@ -3,8 +3,8 @@
 Method: conflict-constrained best fit. Documents are spread by a hash over packing
 groups of about ``GROUP_ROWS`` documents; a group is packed by one task. Items are
 taken in falling size. Open containers are ordered by the room left, and each
-carries bitmaps of the sources and the duplicate clusters it holds; from the
-tightest container that has room the search goes on to the next until one is
+carries bitmaps of the sources and of the duplicate clusters it holds (a cluster has
+a bit in its group if it has several members there); from the tightest container that has room the search goes on to the next until one is
 compatible, else a container is opened. Incompatible are two copies of one text
 (the same letters and digits), and sources named as having to stay ``apart``.
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import letters_digits
+from textloom.functions.text import hash128, letters_digits
 
 CAPACITY = 2048
 GROUP_ROWS = 20_000
@@ -94,7 +94,7 @@ class Counter:
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, tokens, source, cluster) of every row; cluster is null for texts without letters and digits."""
     letters = letters_digits(F.col(text_col))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"), F.when(F.length(letters) > 0, F.xxhash64(letters)).alias("cluster"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"), F.when(F.length(letters) > 0, F.concat_ws("/", *hash128(letters))).alias("cluster"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(tokenizer)
@@ -102,7 +102,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             n = pa.array(map(counter.count, b.column("text").to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), n, b.column("source"), b.column("cluster")], names=["doc_id", "tokens", "source", "cluster"])
 
-    return rows.mapInArrow(count, "doc_id bigint, tokens bigint, source string, cluster bigint")
+    return rows.mapInArrow(count, "doc_id bigint, tokens bigint, source string, cluster string")
 
 
 class Bins:
@@ -112,11 +112,11 @@ class Bins:
         self.at: list[list[int]] = [[] for _ in range(capacity + 1)]
         self.some = 0
         self.sources: list[int] = []
-        self.clusters: list[set[int]] = []
+        self.clusters: list[int] = []
 
     def open(self, room: int) -> int:
         self.sources.append(0)
-        self.clusters.append(set())
+        self.clusters.append(0)
         self.put(len(self.sources) - 1, room)
         return len(self.sources) - 1
 
@@ -141,7 +141,7 @@ class Bins:
 def pack(items: list[tuple[int, int, int | None, int]], capacity: int, conflicts: dict[int, int] | None = None) -> list[int]:
     """The container of every (size, source, cluster, tie) in order of ``items``; 1 <= size <= capacity.
 
-    ``conflicts`` gives for a source number the bitmap of the sources it must not meet.
+    A cluster is the number of its bit, null where an item has no copy. ``conflicts`` gives for a source number the bitmap of the sources it must not meet.
     """
     bins, out, conflicts = Bins(capacity), [0] * len(items), conflicts or {}
     order = sorted(range(len(items)), key=lambda i: (-items[i][0], items[i][2] is None, items[i][2] or 0, items[i][3]))
@@ -160,7 +160,7 @@ def pack(items: list[tuple[int, int, int | None, int]], capacity: int, conflicts
             held = bins.at[room]
             while place < len(held):
                 b = held[place]
-                if not (bins.sources[b] & bad) and (cluster is None or cluster not in bins.clusters[b]):
+                if not (bins.sources[b] & bad) and (cluster is None or not bins.clusters[b] >> cluster & 1):
                     chosen = bins.take(room, place)
                     break
                 place += 1
@@ -174,7 +174,7 @@ def pack(items: list[tuple[int, int, int | None, int]], capacity: int, conflicts
             chosen = bins.open(capacity - size)
         bins.sources[chosen] |= 1 << source
         if cluster is not None:
-            bins.clusters[chosen].add(cluster)
+            bins.clusters[chosen] |= 1 << cluster
         out[i] = chosen
     return out
 
@@ -202,10 +202,12 @@ def containers(
             conflicts[names[a]] = conflicts.get(names[a], 0) | 1 << names[b]
             conflicts[names[b]] = conflicts.get(names[b], 0) | 1 << names[a]
         none = len(names)
+        several = rows["cluster"].value_counts()
+        bit = {c: k for k, c in enumerate(sorted(several.index[several > 1]))}
         items, index = [], []
         for k, (n, s, c) in enumerate(zip(rows["tokens"], rows["source"], rows["cluster"])):
             if n % capacity:
-                items.append((int(n % capacity), names.get(s, none), None if pd.isna(c) else int(c), k))
+                items.append((int(n % capacity), names.get(s, none), bit.get(c), k))
                 index.append(k)
         got = pack(items, capacity, conflicts)
         container = pd.Series([base] * len(rows), dtype="int64")
@@ -221,8 +223,6 @@ def containers(
                 container.iloc[k] = following - 1
         return pd.DataFrame({"doc_id": rows["doc_id"], "tokens": rows["tokens"], "container": container, "own_containers": pd.Series(own, dtype="int32"), "first_own": pd.array(first, dtype="Int64")})
 
-    # The cluster may be null, so it travels as a string through pandas and keeps all 64 bits.
-    counted = counted.withColumn("cluster", F.col("cluster").cast("string"))
     return counted.groupBy("g").applyInPandas(one, PACKED)
 
 
@@ -233,3 +233,26 @@ def fill(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     whole = packed.agg(F.count(F.lit(1)).alias("documents"), F.sum((F.col("tokens") > capacity).cast("int")).alias("cut"), F.sum("tokens").alias("tokens"), F.sum("own_containers").alias("own"))
     both = whole.crossJoin(n).withColumn("containers", F.col("own") + F.col("shared"))  # one row each
     return both.select("documents", "cut", "tokens", "containers", F.round(F.col("tokens") / (F.col("containers") * capacity), 6).alias("fill"))
+
+
+def checks(packed: DataFrame, docs: DataFrame, capacity: int = CAPACITY, apart: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """(documents, missing, twice, overfull, own_shared, copies_together, apart_together): what a packing must keep, counted on its result."""
+    letters = letters_digits(F.col("text"))
+    about = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", F.when(F.length(letters) > 0, F.concat_ws("/", *hash128(letters))).alias("cluster"))
+    x = packed.join(about, "doc_id", "left").withColumn("rest", F.col("tokens") % capacity)
+    rest = x.where("rest > 0")
+    n = lambda c: F.count(F.when(c, 1))
+    ids = about.select("doc_id").distinct().join(packed.select("doc_id").distinct().withColumn("there", F.lit(True)), "doc_id", "left").agg(n(F.col("there").isNull()).alias("missing"))
+    twice = packed.groupBy("doc_id").count().agg(n(F.col("count") > 1).alias("twice"))
+    over = rest.groupBy("container").agg(F.sum("rest").alias("t"), *(n((F.col("source") == a)).alias(f"a{k}") for k, (a, _) in enumerate(apart)), *(n((F.col("source") == b)).alias(f"b{k}") for k, (_, b) in enumerate(apart)))
+    broken = F.lit(False)
+    for k in range(len(apart)):
+        broken = broken | ((F.col(f"a{k}") > 0) & (F.col(f"b{k}") > 0))
+    over = over.agg(n(F.col("t") > capacity).alias("overfull"), n(broken).alias("apart_together"))
+    own = x.where("own_containers > 0").select(F.explode(F.sequence("first_own", F.col("first_own") + F.col("own_containers") - 1)).alias("container"))
+    own = own.unionByName(rest.select("container").distinct()).groupBy("container").count().agg(n(F.col("count") > 1).alias("own_shared"))
+    copies = rest.where("cluster is not null").groupBy("container", "cluster").count().agg(n(F.col("count") > 1).alias("copies_together"))
+    out = packed.agg(F.count(F.lit(1)).alias("documents"))
+    for part in (ids, twice, over, own, copies):
+        out = out.crossJoin(part)  # one row each
+    return out.select("documents", "missing", "twice", "overfull", "own_shared", "copies_together", "apart_together")

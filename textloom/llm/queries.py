@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.session import cut
 from textloom.llm import copies, leak, mixing, mojibake, neardup, overlap, packing, quality, subjects
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +71,12 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(split, source, lines, leaked)."""
+    return overlap.report(table(spark, sf_dir, "holdout"), table(spark, sf_dir, "train")).drop("mean_coverage")
+
+
+def p6_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report with the mean share of words covered by aligned chains."""
     return overlap.report(table(spark, sf_dir, "holdout"), table(spark, sf_dir, "train"))
 
 
@@ -81,6 +88,26 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill(packing.containers(table(spark, sf_dir, "documents")))
 
 
+#: Chat and reviews don't share a container with reference works.
+APART = tuple((a, b) for a in ("forum", "senti", "vitamin") for b in ("wiki", "akademik"))
+
+
+def p7_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers in which sources that have to stay apart never meet."""
+    return packing.containers(table(spark, sf_dir, "documents"), apart=APART)
+
+
+def p7_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both packings must keep, counted on the packing with sources apart."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.checks(cut(packing.containers(docs, apart=APART), "packed"), docs, apart=APART)
+
+
+def p8_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item_id, doc_id) where at least twelve words of the item stand in a row as they are."""
+    return leak.matches(table(spark, sf_dir, "eval_items"), table(spark, sf_dir, "documents")).where("kind = 'exact'").select("item_id", "doc_id")
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak.found(table(spark, sf_dir, "eval_items"), table(spark, sf_dir, "documents"))
 
@@ -156,6 +183,32 @@ def words_sql(table: str) -> str:
 SHARED = """select a.line_id as a, b.line_id as b from {a} a join {b} b on a.w = b.w and a.k = b.k {different} group by a.line_id, b.line_id, a.n, b.n having count(*) >= 0.75 * greatest(a.n, b.n)"""
 
 
+# Texts with the same letters and the same words are one unit; units are linked by the words they share, and groups spread along links.
+GROUPS = f"""
+with recursive lines as (select distinct line_id, regexp_replace({LOWER}, '[^\\p{{L}}\\p{{N}}]+', '', 'g') as letters, string_split(trim(regexp_replace({LOWER}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') as ws from shards where text is not null and line_id is not null),
+long as (select line_id, letters, list_sort(ws) as ws from lines where len(ws) >= 20),
+member as (select line_id, min(line_id) over (partition by letters, ws) as unit from long),
+words as (select unit, n, w, row_number() over (partition by unit, w) as k from (select line_id as unit, len(ws) as n, unnest(ws) as w from long where line_id in (select unit from member))),
+links as (select a.unit as a, b.unit as b from words a join words b on a.w = b.w and a.k = b.k and a.unit <> b.unit group by a.unit, b.unit, a.n, b.n having count(*) >= 0.75 * greatest(a.n, b.n)),
+spread as (select a as unit, a as seen from links union select s.unit, l.b from spread s join links l on l.a = s.seen),
+roots as (select unit, min(seen) as root from spread group by 1),
+counts as (select a as unit, count(*) as n from links group by 1),
+found as (select m.line_id, coalesce(r.root, m.unit) as group_id, coalesce(c.n, 0) as n_links from member m left join roots r on r.unit = m.unit left join counts c on c.unit = m.unit)
+select line_id, group_id, n_links from found qualify count(*) over (partition by group_id) > 1
+"""
+
+
+def phrase_words(table: str, key: str) -> str:
+    plain = "lower(replace(text, 'İ', 'i'))"
+    for a, b in ("ıi", "şs", "ğg", "çc", "öo", "üu", "âa", "îi", "ûu"):
+        plain = f"replace({plain}, '{a}', '{b}')"
+    return f"""(select {key}, i, array_to_string(ws[i : i + 11], ' ') as phrase from (select {key}, ws, unnest(range(1, len(ws) - 10)) as i
+  from (select {key}, string_split(trim(regexp_replace(strip_accents({plain}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') as ws from {table} where text is not null) where len(ws) >= 12))"""
+
+
+PHRASES = f"with a as {phrase_words('eval_items', 'item_id')}, b as {phrase_words('documents', 'doc_id')} select distinct item_id, doc_id from a join b on a.phrase = b.phrase"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": KEYS + f", words as {words_sql('shards')}, pairs as ({SHARED.format(a='words', b='words', different='and a.line_id < b.line_id')})"
@@ -163,6 +216,10 @@ def oracle_sql() -> dict[str, str]:
         "p5_found": KEYS + "select first_line_id, line_id from keys join classes on classes.key = keys.key where line_id > first_line_id",
         "p5_copies": KEYS + "select first_line_id as line_id, n as n_copies from classes",
         "p6_found": f"with h as {words_sql('holdout')}, t as {words_sql('train')}, pairs as ({SHARED.format(a='h', b='t', different='')}) select a as holdout_line_id, b as train_line_id from pairs",
+        "p6_report": f"with h as {words_sql('holdout')}, t as {words_sql('train')}, pairs as ({SHARED.format(a='h', b='t', different='')}) select split, source, count(*) as lines, count(hit) as leaked from (select distinct line_id, split, source from holdout) l left join (select distinct a as hit from pairs) p on p.hit = l.line_id group by 1, 2",
+        "p2_groups": GROUPS,
+        "p7_checks": "select count(*) as documents, 0 as missing, 0 as twice, 0 as overfull, 0 as own_shared, 0 as copies_together, 0 as apart_together from documents",
+        "p8_exact": PHRASES,
         "p4_found": PLAN + "select run_id, source from used where short",
         "p4_report": PLAN + "select run_id, source, quota, chars, round(target, 3) as target, round(used, 3) as used, round(used / sum(used) over (partition by run_id), 9) as share, short, case when short then round(chars * max_repeat / target, 6) end as dry_at from used",
         "p4_positions": POSITIONS,
