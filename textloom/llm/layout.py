@@ -30,9 +30,45 @@ IS_LOWER, IS_DIGIT, IS_SPACE = table(bytes(range(97, 123))), table(b"0123456789"
 CLOSING, WITHIN, TECHNICAL = table(b".!?)"), table(b".,!?'\"()-"), table(b"_=/\\{}[]<>:@#")
 
 
+# Turkish letters with diacritics and their plain forms, and quotes, dashes and blanks that are written in several ways.
+PLAIN = dict(zip("ıİşŞğĞçÇöÖüÜâÂîÎûÛ", "iissggccoouuaaiiuu")) | {"’": "'", "‘": "'", "´": "'", "“": '"', "”": '"', "…": ".", "–": "-", "—": "-", "\u00a0": " "}
+
+
+def fold_tables() -> tuple[np.ndarray, np.ndarray]:
+    """What a character of two bytes (from U+0080 on), or of three bytes from U+2000 on, becomes; 0 for itself."""
+    two, three = np.zeros(4 * 64, np.uint8), np.zeros(64, np.uint8)
+    for c, plain in PLAIN.items():
+        b = c.encode()
+        if len(b) == 2:
+            two[(b[0] - 0xC2) * 64 + b[1] - 0x80] = ord(plain)
+        else:
+            three[b[2] - 0x80] = ord(plain)
+    return two, three
+
+
+TWO, THREE = fold_tables()
+
+
+def fold(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 text in lower case without Turkish diacritics, and where its rows then start."""
+    data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+    kept = np.ones(len(data), bool)
+    lead = np.flatnonzero((data >= 0xC2) & (data <= 0xC5))
+    plain = TWO[(data[lead].astype(np.int64) - 0xC2) * 64 + (data[lead + 1] & 0x3F)]
+    lead, plain = lead[plain > 0], plain[plain > 0]
+    data[lead], kept[lead + 1] = plain, False
+    lead = np.flatnonzero(data == 0xE2)
+    lead = lead[data[lead + 1] == 0x80]
+    plain = THREE[data[lead + 2] & 0x3F]
+    lead, plain = lead[plain > 0], plain[plain > 0]
+    data[lead], kept[lead + 1], kept[lead + 2] = plain, False, False
+    before = np.concatenate([[0], np.cumsum(kept)])
+    return data[kept], before[start]
+
+
 @dataclass
 class Lines:
-    """Lines as bytes, each ended by a line break, with what is worked out from them once."""
+    """Lines as folded bytes, each ended by a line break, with what is worked out from them once."""
 
     data: np.ndarray
     start: np.ndarray  # one more than there are lines
@@ -54,7 +90,7 @@ class Lines:
         column = column.cast(pa.large_string())
         start = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
         data = np.frombuffer(column.buffers()[2], np.uint8)[start[0] : start[-1]] if len(column) else np.zeros(0, np.uint8)
-        start = start - start[0]
+        data, start = fold(data, start - start[0])
         row_of = np.repeat(np.arange(len(start) - 1), np.diff(start))
         space = IS_SPACE[data]
         # Tokens are runs without a blank. A sign beyond ASCII is a letter in a token that has letters or digits, and a sign in others.

@@ -41,7 +41,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.layout import BASE, ENDING, Lines
-from textloom.llm.terms import TURKISH
 from textloom.session import cut
 
 BLOCK = 64
@@ -57,18 +56,6 @@ SURE = 0.9
 FEATURES = ("unsaid", "no_clause", "aligned", "indented", "regular", "symbols", "digits", "cells", "open", "unusual", "mixed", "repeated", "uncommon")
 LAYOUT = ("aligned", "indented", "regular")
 COUNTS = ("words", "chars", "letters", "digits", "symbols", "word_chars", "common", "predicates", "cells", "written", "clause", "repeated", "mixed", "pairs", "closed", "indent", "signature")
-# Quotes, dashes and blanks that are written in several ways.
-SAME = {"’": "'", "‘": "'", "´": "'", "`": "'", "“": '"', "”": '"', "…": ".", "–": "-", "—": "-", " ": " "}
-
-
-def fold(text: Column) -> Column:
-    """Lower case without Turkish diacritics, quotes and dashes in one form; ends with a line break."""
-    x = F.lower(F.replace(text, F.lit("İ"), F.lit("i")))
-    for a, b in (TURKISH | SAME).items():
-        x = F.replace(x, F.lit(a), F.lit(b))
-    return F.concat(x, F.lit("\n"))
-
-
 @dataclass
 class Language:
     """What the table tells of its language; all tables are bounded by the alphabet or by a parameter."""
@@ -96,7 +83,7 @@ class Language:
 
 def lines_of(df: DataFrame, record_col: str, line_col: str, text_col: str) -> DataFrame:
     no = F.coalesce(F.col(line_col).cast("bigint"), F.lit(0))
-    return df.where(F.col(record_col).isNotNull()).select(F.col(record_col).alias("rec"), no.alias("no"), fold(F.coalesce(F.col(text_col), F.lit(""))).alias("f"))
+    return df.where(F.col(record_col).isNotNull()).select(F.col(record_col).alias("rec"), no.alias("no"), F.concat(F.coalesce(F.col(text_col), F.lit("")), F.lit("\n")).alias("f"))
 
 
 def learn(lines: DataFrame) -> Language:
