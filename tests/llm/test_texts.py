@@ -52,6 +52,17 @@ def test_right_text_stays(describer, text):
     assert mojibake.restore(text, describer)[0] == text and not mojibake.restore(text, describer)[2]
 
 
+@pytest.mark.parametrize("text", ["Schöne Grüße aus der Bücherei, wir wünschen Ihnen einen schönen Tag.", "L'élève était très étonné, où avait-il déjà vu cette forêt ?", "Мы хотели бы поговорить о хорошей погоде.", "Žluťoučký kůň úpěl ďábelské ódy."])
+@pytest.mark.parametrize("name", ["utf-8 as cp1252", "utf-8 as latin-1", "utf-8 as latin-1, then as cp1252", "utf-8 as cp1252, then as cp1254"])
+def test_other_languages_come_back(describer, name, text):
+    steps = next(s for n, s, _ in mojibake.CHAINS if n == name)
+    try:
+        bad = garble(text, steps)
+    except KeyError:
+        pytest.skip("the encoding lacks a character")
+    assert mojibake.restore(bad, describer)[0] == text
+
+
 def test_garbled_in_places(describer):
     bad = PROSE[0].replace("çocuklar", garble("çocuklar", [("cp1252", "utf-8")]))
     fixed, chains, n, lost = mojibake.restore(bad, describer)

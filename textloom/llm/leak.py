@@ -18,8 +18,7 @@ segment.
 A passage counts with at least ``min_words`` item words in a row. Letter case,
 diacritics, punctuation and spacing are ignored, single changed or added words
 are bridged, and so is one break of at most ``break_words`` words. ``kind`` says
-whether all words of the passage stand in a row as they are (exact) or not
-(proximity).
+whether ``min_words`` words stand in a row as they are (exact) or not (proximity).
 
 The items are a query set: they are taken in blocks of at most ``block`` items,
 so what is sent to the executors is bounded whatever the number of items.
@@ -237,8 +236,8 @@ def candidates(items: Items, seg: Segment) -> Iterator[tuple[int, int, np.ndarra
                 yield int(i[part[0]]), int(doc[part[0]]), np.unique(origin[part])
 
 
-def stretches(item: np.ndarray, doc: np.ndarray, origin: int) -> list[tuple[int, int, int, int, int]]:
-    """(first, last, matched, doc first, doc last) of runs of item words near one origin; one word may differ at a time."""
+def stretches(item: np.ndarray, doc: np.ndarray, origin: int) -> list[tuple[int, int, int, int, int, int]]:
+    """(first, last, matched, doc first, doc last, unbroken) of runs of item words near one origin; one word may differ at a time."""
     at = np.arange(len(item))
     # Nearest origins first: a word counts once, at the least shift.
     where = np.full(len(item), -1)
@@ -258,7 +257,13 @@ def stretches(item: np.ndarray, doc: np.ndarray, origin: int) -> list[tuple[int,
         run.append(h)
     if run:
         out.append(run)
-    return [(r[0], r[-1], len(r), int(where[r[0]]), int(where[r[-1]])) for r in out if len(r) >= 3]
+    return [(r[0], r[-1], len(r), int(where[r[0]]), int(where[r[-1]]), unbroken(np.array(r), where)) for r in out if len(r) >= 3]
+
+
+def unbroken(run: np.ndarray, where: np.ndarray) -> int:
+    """The most words of a run that stand in a row in the item and in the document."""
+    gaps = np.flatnonzero((np.diff(run) != 1) | (np.diff(where[run]) != 1))
+    return int(np.diff(np.concatenate([[-1], gaps, [len(run) - 1]])).max())
 
 
 def passage(item: np.ndarray, doc: np.ndarray, origins: np.ndarray, min_words: int, break_words: int = BREAK_WORDS) -> tuple[int, bool]:
@@ -268,7 +273,7 @@ def passage(item: np.ndarray, doc: np.ndarray, origins: np.ndarray, min_words: i
     runs = sorted(runs)
     for a in runs:
         words = a[1] - a[0] + 1
-        exact |= words >= min_words and a[2] == words and a[4] - a[3] == a[1] - a[0]
+        exact |= a[5] >= min_words
         if a[2] >= 0.7 * words:
             best = max(best, words)
         for b in runs:

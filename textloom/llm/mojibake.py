@@ -11,9 +11,12 @@ and scripts save nothing when re-read, so they stay.
 
 The Turkish dictionary is fitted on a bounded sample of the lines themselves
 (``SAMPLE`` lines without any unusual character, chosen by a hash of their id);
-those of the other languages are a few sentences each.
+those of the other languages are a few public sentences each, since the table has no
+lines in them to learn from. A restored word must be one that some language can
+write, with letters of its alphabet alone, and a stretch is in one language.
 
-Characters lost for good (U+FFFD) are marked but can't be restored.
+Characters lost for good (U+FFFD) can't be restored by any chain. Lines that have
+them are reported by this second rule, with their number.
 
 Defined results: null, empty and blank texts are left out; repeated rows with one
 id and text give one row; a table without usable sample lines falls back to the
@@ -53,9 +56,7 @@ CHAINS: list[tuple[str, list[tuple[str, str]], float]] = [
     ("utf-8 as cp1253", [("cp1253", "utf-8")], 2.0),
     ("utf-8 as mac-roman", [("mac_roman", "utf-8")], 2.0),
     ("utf-8 as cp1252, lower case", [("lower", ""), ("cp1252", "utf-8")], 2.0),
-    ("utf-8 as cp1252, twice", [("cp1252", "utf-8"), ("cp1252", "utf-8")], 2.0),
-    ("utf-8 as latin-1, twice", [("latin-1", "utf-8"), ("latin-1", "utf-8")], 2.0),
-    ("utf-8 as cp1254, twice", [("cp1254", "utf-8"), ("cp1254", "utf-8")], 2.0),
+    *((f"utf-8 as {a}, then as {b}" if a != b else f"utf-8 as {a}, twice", [(b, "utf-8"), (a, "utf-8")], 2.0 if a == b else 2.5) for a in ("cp1252", "latin-1", "cp1254") for b in ("cp1252", "latin-1", "cp1254")),
     ("cp1254 as latin-1", [("latin-1", "cp1254")], 2.5),
     ("cp1254 as cp1252", [("cp1252", "cp1254")], 2.5),
     ("cp1254 as cp1251", [("cp1251", "cp1254")], 2.5),
@@ -68,24 +69,34 @@ CHAINS: list[tuple[str, list[tuple[str, str]], float]] = [
     ("cp1254 as cp437", [("cp437", "cp1254")], 3.0),
 ]
 
-# A few plain sentences a language, for texts that are right as they are.
+# Plain sentences of each language, among them the first and third articles of the Universal Declaration of Human Rights.
 SENTENCES = {
-    "en": "The quick reader asks what the weather will be like and whether the house on the corner is still for sale; they would have been there before. ",
-    "de": "Die Größe der Straße ändert sich nicht, und über die Brücke fährt heute kein Zug; schöne Grüße aus München, wir möchten später noch kommen. ",
-    "fr": "Où est passé l'élève qui a déjà vu cette pièce à Noël ? Il a été reçu à l'école française, c'était très naïf de sa part, voilà tout. ",
-    "es": "¿Qué tal el año? El niño pequeño mañana vendrá a la montaña con más señales, ¡qué corazón tan grande! También habrá música española. ",
-    "pt": "São Tomé não é tão longe; amanhã as ações e as canções começam às três da manhã, então você também irá à estação do João. ",
-    "pl": "Łódź jest piękna, a źródło rzeki leży daleko; więc proszę, żeby się nie śmiać z tej książki, którą wczoraj czytał mój mąż. ",
-    "nordic": "Smørrebrød på Ærø smager godt, og Ångström var fra Sverige; Þórsmörk er fallegur dalur og það er gott að búa í Reykjavík við ströndina. ",
-    "ru": "Привет, как дела? Сегодня хорошая погода, и мы пойдём гулять по городу, а потом будем читать книгу о том, что было раньше. ",
-    "tr": "Öğleden sonra yağmur yağınca çocuklar eve döndü; akşama doğru güneş açtı, bütün komşular bahçeye çıkıp uzun süre konuştular. İki gün önce Şirket çalışanları için öğle yemeği düzenlenmişti. ",
+    "en": "The quick reader asks what the weather will be like and whether the house on the corner is still for sale; they would have been there before. All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood. Everyone has the right to life, liberty and security of person. ",
+    "de": "Die Größe der Straße ändert sich nicht, und über die Brücke fährt heute kein Zug; schöne Grüße aus München, wir möchten später noch kommen. Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt und sollen einander im Geist der Brüderlichkeit begegnen. Jeder hat das Recht auf Leben, Freiheit und Sicherheit der Person. ",
+    "fr": "Où est passé l'élève qui a déjà vu cette pièce à Noël ? Il a été reçu à l'école française, c'était très naïf de sa part, voilà tout. Tous les êtres humains naissent libres et égaux en dignité et en droits. Ils sont doués de raison et de conscience et doivent agir les uns envers les autres dans un esprit de fraternité. Tout individu a droit à la vie, à la liberté et à la sûreté de sa personne. ",
+    "es": "¿Qué tal el año? El niño pequeño mañana vendrá a la montaña con más señales, ¡qué corazón tan grande! También habrá música española. Todos los seres humanos nacen libres e iguales en dignidad y derechos y, dotados como están de razón y conciencia, deben comportarse fraternalmente los unos con los otros. Todo individuo tiene derecho a la vida, a la libertad y a la seguridad de su persona. ",
+    "pt": "São Tomé não é tão longe; amanhã as ações e as canções começam às três da manhã, então você também irá à estação do João. Todos os seres humanos nascem livres e iguais em dignidade e em direitos. Dotados de razão e de consciência, devem agir uns para com os outros em espírito de fraternidade. Todo o indivíduo tem direito à vida, à liberdade e à segurança pessoal. ",
+    "it": "Perché la città è così bella di sera, e più tardi verrà anche lui al caffè. Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e devono agire gli uni verso gli altri in spirito di fratellanza. ",
+    "pl": "Łódź jest piękna, a źródło rzeki leży daleko; więc proszę, żeby się nie śmiać z tej książki, którą wczoraj czytał mój mąż. Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek ma prawo do życia, wolności i bezpieczeństwa swej osoby. ",
+    "cs": "Všichni lidé rodí se svobodní a sobě rovní co do důstojnosti a práv. Jsou nadáni rozumem a svědomím a mají spolu jednat v duchu bratrství. ",
+    "hu": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek. ",
+    "ro": "Toate ființele umane se nasc libere și egale în demnitate și în drepturi. Ele sunt înzestrate cu rațiune și conștiință și trebuie să se comporte unele față de altele în spiritul fraternității. ",
+    "nordic": "Smørrebrød på Ærø smager godt, og Ångström var fra Sverige; Þórsmörk er fallegur dalur og það er gott að búa í Reykjavík við ströndina. Alle mennesker er født frie og lige i værdighed og rettigheder. De er udstyret med fornuft og samvittighed. Alla människor är födda fria och lika i värde och rättigheter. De är utrustade med förnuft och samvete. ",
+    "ru": "Привет, как дела? Сегодня хорошая погода, и мы пойдём гулять по городу, а потом будем читать книгу о том, что было раньше. Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства. Каждый человек имеет право на жизнь, на свободу и на личную неприкосновенность. ",
+    "tr": "Öğleden sonra yağmur yağınca çocuklar eve döndü; akşama doğru güneş açtı, bütün komşular bahçeye çıkıp uzun süre konuştular. İki gün önce Şirket çalışanları için öğle yemeği düzenlenmişti. Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler. ",
 }
 
 LOWERED = str.maketrans("ãäåÿ", "ÃÄÅŸ")
-SPLIT = re.compile("([ \\t\\n\\r\\x0b\\x0c\u2000-\u200b\u3000\ufeff]+|(?<!Â)\u00a0+)")
+SPLIT = re.compile("([ \\t\\n\\r\\x0b\\x0c\u2000-\u200b\u3000\ufeff]+|(?<![ÂÃ])\u00a0+)")
 ODD = re.compile(f"[^{USUAL}]|(?<=[^\\W\\d_])”(?=[^\\W\\d_])")
-# What a restored stretch may consist of: characters that some dictionary knows.
-KNOWN = re.compile(f"[{USUAL}{re.escape(''.join(sorted(set(''.join(SENTENCES.values())))))}«»·°€½§©®\u00a0]*")
+# The letters of each language beyond a to z, and the signs that only it has.
+ALPHABETS = {
+    "tr": "çğıöşüâîû", "de": "äöüß", "fr": "àâæçéèêëîïôœùûüÿ", "es": "áéíñóúü¿¡", "pt": "ãâáàçéêíõôóúü", "it": "àèéìîòóù", "pl": "ąćęłńóśźż", "cs": "áčďéěíňóřšťúůýž", "hu": "áéíóöőúüű", "ro": "ăâîșțşţ",
+    "sv": "åäöé", "da": "æøåé", "is": "áéíóúýðþæö", "ru": "абвгдежзийклмнопрстуфхцчшщъыьэюяё",
+}
+# What restored words may consist of: plain characters and signs, and the letters of one language.
+KNOWN = [re.compile(f"[\\x00-\\x7F’‘“”…–—•«»·°€½§©®\u00a0{a}{a.upper().replace('SS', '')}İ]*") for a in ALPHABETS.values()]
+ANY = (1 << len(KNOWN)) - 1
 SCHEMA = "id bigint, text string, restored string, chains array<string>, stretches int, lost int"
 
 
@@ -129,6 +140,12 @@ def undo(text: str, steps: list[tuple[str, str]]) -> str | None:
     return text
 
 
+@lru_cache(maxsize=100_000)
+def written_in(word: str) -> int:
+    """The languages that can write a word, as bits."""
+    return sum(1 << k for k, x in enumerate(KNOWN) if x.fullmatch(word))
+
+
 class Describer:
     """Compressed lengths under the best of several dictionaries."""
 
@@ -159,20 +176,26 @@ def restore(text: str, describer: Describer) -> tuple[str, list[str], int, int]:
     options = []
     for name, steps, cost in CHAINS:
         out: list[str | None] = []
+        can: list[int] = []
         for w, o in zip(words, odd):
             if w.isascii() and not o:
                 out.append(w)
+                can.append(ANY)
                 continue
             v = undo(w, steps)
             # A word that the chain leaves as it is doesn't end a stretch.
-            out.append(v if v is not None and (v == w or KNOWN.fullmatch(v)) else None)
+            can.append(0 if v is None else ANY if v == w else written_in(v))
+            out.append(v if can[-1] else None)
         i = 0
         while i < len(words):
             if out[i] is None or out[i] == words[i]:
                 i += 1
                 continue
             j = last = i
-            while j < len(words) and out[j] is not None:
+            languages = ANY
+            # All words of a stretch are of one language.
+            while j < len(words) and languages & can[j]:
+                languages &= can[j]
                 if out[j] != words[j]:
                     last = j
                 j += 1
