@@ -1,48 +1,21 @@
-"""Every query with SQL against DuckDB on the smallest tables; the others run and give rows."""
+"""Every query with SQL against DuckDB on the smallest tables; the others run."""
 
-import glob
-import os
-
-import duckdb
 import pytest
 
 import __spark_entry__ as entry
-
-DATA = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
-
-
-def plain(v):
-    if isinstance(v, (list, tuple)):
-        return tuple(map(plain, v))
-    if isinstance(v, float) or hasattr(v, "as_tuple"):
-        return round(float(v), 5)
-    return v
-
-
-@pytest.fixture(scope="module")
-def duck():
-    c = duckdb.connect()
-    for f in glob.glob(f"{DATA}/*.parquet"):
-        c.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
-    return c
+from textloom import queries as core
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
-def test_sql(spark, duck, name):
-    df = entry.queries()[name](spark, DATA)
-    cols = sorted(df.columns)
-    rel = duck.execute(SQL[name])
-    names = [x[0] for x in rel.description]
-    want = sorted(repr([plain(dict(zip(names, r))[c]) for c in cols]) for r in rel.fetchall())
-    assert sorted(names) == cols
-    assert sorted(repr([plain(r[c]) for c in cols]) for r in df.collect()) == want
+@pytest.mark.parametrize("name", sorted(core.oracle_sql()))
+def test_sql(agrees, name):
+    agrees(core.queries()[name], core.oracle_sql()[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQL)))
-def test_runs(spark, name):
-    assert entry.queries()[name](spark, DATA).count() >= 0
+@pytest.mark.parametrize("name", sorted(set(core.queries()) - set(core.oracle_sql())))
+def test_runs(spark, small, name):
+    assert core.queries()[name](spark, small).count() >= 0
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+    assert set(core.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())

@@ -59,6 +59,29 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
     assert 1 in once and sorted(r.line_id for r in run().collect()) == sorted([*once, 10])
 
 
+def test_stream_keeps_quotas_and_priorities(spark, tmp_path):
+    """Batches are taken one after the other: what a quota turned away in the first may still come in, copies don't, and sums go on."""
+    schema = "line_id bigint, rec_id bigint, source string, text string"
+    line = "satır numarası {} burada uzun uzun durur"
+    rows = [[(1, 1, "son", line.format("bir")), (2, 2, "az", line.format("BİR").replace("BİR", "bir")), (3, 3, "az", line.format("iki")), (4, 4, "az", line.format("üç"))], [(9, 9, "az", line.format("dört")), (10, 10, "son", line.format("bir")), (11, 11, "son", line.format("beş"))]]
+    sources = spark.createDataFrame([(1, "az", 0.1), (2, "son", 0.5)], "priority int, name string, quota double")
+    run = lambda: collect_stream(spark, f"file://{tmp_path}/in", spark.createDataFrame([], schema).schema, f"file://{tmp_path}/acc", f"file://{tmp_path}/cp", sources=sources, total=600)
+    for k, part in enumerate(rows):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in")
+        got = sorted(r.line_id for r in run().collect())
+        # "az" may add 60 characters: the copy goes to it, since it comes first, and one more line.
+        assert got == [[2, 3], [2, 3, 11]][k]
+
+
+def test_probe(spark, small):
+    configs = [{"source": "forum", "path": f"{small}/forum.parquet"}, {"source": "gone", "config": "x", "path": f"{small}/nothing.parquet"}, {"source": "items", "path": f"{small}/eval_items.parquet"}]
+    fields, failed = readers.probe(spark, configs, 5, 2)
+    rows = {(r.source, r.field): r for r in fields.collect()}
+    assert [tuple(r)[:2] for r in failed.collect()] == [("gone", "x")]
+    assert rows["forum", "texts"].is_text and rows["items", "text"].is_text and rows["forum", "texts"].records <= 5
+    assert all(len(r.previews) <= 2 and all(len(x) <= 805 for x in r.previews) for r in rows.values())
+
+
 @pytest.mark.parametrize("name", vocab.NAMES)
 def test_round_trip(spark, name):
     path = vocab.vocabulary_path(name)
@@ -80,6 +103,10 @@ def test_validation_and_show(spark):
     texts = spark.createDataFrame([("Şu çılgın Türkler",), ("ISPARTA ılık",), (None,)], "text string")
     got = {r.check: (r.passed, r.failed, r.blocking) for r in vocab.validation(texts, vocab.vocab_table(spark, path), path, {"<|endoftext|>": 50256, "<none>": 3}, 20).collect()}
     assert got["round trip"] == (2, 0, False) and got["special ids"] == (1, 1, True) and got["ids without gaps"] == (1, 0, True) and got["token length"][1] > 0
+    assert got["no unknown token"] == (2, 0, True) and got["exotic texts"] == (len(vocab.EXOTIC), 0, False)
+    lossy = vocab.vocabulary_path("word_bpe_49k")
+    other = {r.check: r.failed for r in vocab.validation(texts, vocab.vocab_table(spark, lossy), lossy, {}).collect()}
+    assert other["round trip"] == 2
     assert "_" in vocab.show("bir iki üç", path)
 
 

@@ -69,11 +69,12 @@ def count_char(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
 
-def reject_reason(line: Column) -> Column:
+def reject_reason(line: Column, min_chars: int = MIN_CHARS, max_chars: int | None = MAX_CHARS) -> Column:
     """The first reason not to use a line: length, few_words, low_letters; null for a usable line."""
     n = F.length(line)
+    out = n < min_chars if max_chars is None else (n < min_chars) | (n > max_chars)
     return (
-        F.when((n < MIN_CHARS) | (n > MAX_CHARS), "length")
+        F.when(out, "length")
         .when(count_char(line, " ") < MIN_SPACES, "few_words")
         .when(count_letters(line) < n * MIN_LETTER_SHARE, "low_letters")
     )
@@ -110,6 +111,11 @@ def clip(line: Column, width: int = 600, tail: int = 200) -> Column:
     )
 
 
+def display(line: Column, width: int = 400) -> Column:
+    """The beginning of a line, for reports."""
+    return F.substring(line, 1, width)
+
+
 def hash_fraction(text: Column, salt: str) -> Column:
     """A salted 60-bit number from SHA-256, the same in any engine: for splits and draws."""
     return F.conv(F.substring(F.sha2(F.concat(F.lit(salt), text), 256), 1, 15), 16, 10).cast("bigint")

@@ -249,6 +249,29 @@ def reject_counts(lines: DataFrame) -> DataFrame:
     return lines.groupBy("source", reason.alias("reason")).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line")).cast("bigint").alias("chars"))
 
 
+def outcome_counts(lines: DataFrame, sources: DataFrame, total: float, taken: DataFrame, records: DataFrame | None = None) -> DataFrame:
+    """(source, outcome, lines): what became of every line read of a source with a quota.
+
+    read counts all; a rejected line counts under its reason, a taken one under
+    accepted, one whose form was taken before it under dup, and one that a record's
+    cap or the source's quota turned away under limit. ``records`` (source, kept)
+    adds how many records were left out before (record_filtered).
+    """
+    h1, h2 = hash128(dedup_norm(F.col("line")))
+    x = with_priority(lines.where("source is not null"), sources).join(F.broadcast(quotas(sources, total).select("source")), "source")  # one row a source
+    x = x.select("line_id", "source", "priority", reject_reason(F.col("line")).alias("reason"), h1.alias("h1"), h2.alias("h2"))
+    x = x.join(taken.select("line_id", F.lit(True).alias("in")), "line_id", "left")
+    # One line of a form is taken at most, so the other side has one row a form.
+    held = x.where("in").select("h1", "h2", F.struct("priority", "line_id").alias("by"))
+    x = x.join(held, ["h1", "h2"], "left")
+    outcome = F.coalesce("reason", F.when(F.col("in"), "accepted").when(F.col("by") < F.struct("priority", "line_id"), "dup").otherwise("limit"))
+    counts = x.groupBy("source", outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("lines"))
+    out = counts.unionByName(counts.groupBy("source").agg(F.sum("lines").alias("lines")).withColumn("outcome", F.lit("read")))
+    if records is not None:
+        out = out.unionByName(records.where("not kept").groupBy("source").agg(F.count(F.lit(1)).alias("lines")).withColumn("outcome", F.lit("record_filtered")))
+    return out
+
+
 def source_summary(taken: DataFrame, sources: DataFrame, total: float) -> DataFrame:
     """(source, target, lines, chars, share): what every registered source gave of its target."""
     got = taken.groupBy("source").agg(F.count(F.lit(1)).alias("lines"), F.sum("n").alias("chars"))

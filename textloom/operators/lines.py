@@ -69,12 +69,14 @@ def explode_lines(df: DataFrame, keys: list[str], text_col: str = "text", limit:
     return x.select(*keys, "part_no", "raw_no", "chunk_no", once(collapse_space(F.col("raw"))).alias("line"))
 
 
+def is_usable() -> Column:
+    """A sure language and no mass copies; a missing value passes. Written so that both limits reach the scan."""
+    return (F.col("language_score").isNull() | (F.col("language_score") >= MIN_LANGUAGE_SCORE)) & (F.col("minhash_cluster_size").isNull() | (F.col("minhash_cluster_size") <= MAX_CLUSTER))
+
+
 def usable_records(df: DataFrame) -> DataFrame:
-    """Web records with a sure language and no mass copies; a missing value passes. Written so that both limits reach the scan."""
-    return df.where(
-        (F.col("language_score").isNull() | (F.col("language_score") >= MIN_LANGUAGE_SCORE))
-        & (F.col("minhash_cluster_size").isNull() | (F.col("minhash_cluster_size") <= MAX_CLUSTER))
-    )
+    """Web records that are usable."""
+    return df.where(is_usable())
 
 
 def first_text(*columns: str) -> Column:

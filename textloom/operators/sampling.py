@@ -73,3 +73,28 @@ def byte_cap(lines: DataFrame, line_quota: int, most_bytes: int) -> DataFrame:
 def shuffled(lines: DataFrame, seed: int = 42) -> DataFrame:
     """Lines in an order by hash, the same for the same seed; a distributed range sort."""
     return lines.withColumn("place", hash_fraction(F.col("line_id").cast("string"), f"{seed}|")).orderBy("place", "line_id")
+
+
+def config_targets(lines: DataFrame, targets: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """(source, config, target): a source's target shared by its configurations, equally or by ``weights`` (1 where not named)."""
+    w = F.lit(1.0)
+    for config, weight in (weights or {}).items():
+        w = F.when(F.col("config") == config, F.lit(float(weight))).otherwise(w)
+    of = lines.where("source is not null and config is not null").select("source", "config").distinct().withColumn("w", w)
+    every = of.groupBy("source").agg(F.sum("w").alias("all"))
+    x = of.join(F.broadcast(every), "source").join(F.broadcast(targets), "source")  # one row a configuration
+    return x.select("source", "config", F.floor(F.col("target") * F.col("w") / F.col("all")).cast("bigint").alias("target"))
+
+
+def config_mixture(lines: DataFrame, targets: DataFrame) -> DataFrame:
+    """(line_id, source, config, n): lines in order until a configuration has reached its target (source, config, target)."""
+    x = lines.where("source is not null and config is not null").select("line_id", "source", "config", F.length("line").cast("bigint").alias("n"))
+    x = exclusive_sum(x.join(F.broadcast(targets), ["source", "config"]), ["source", "config"], F.floor(F.col("line_id") / 50_000), ["line_id"], "n", "before")
+    return x.where("before < target").select("line_id", "source", "config", "n")
+
+
+def shuffled_chunks(lines: DataFrame, chunk: int, seed: int = 42) -> DataFrame:
+    """(line_id, chunk, place): lines in an order by hash, in chunks of so many lines that can be written one by one."""
+    x = lines.select("line_id", hash_fraction(F.col("line_id").cast("string"), f"{seed}|").alias("place"), F.lit(1).alias("one"), F.lit(0).alias("all"))
+    x = exclusive_sum(x, ["all"], F.shiftright("place", 40), ["place", "line_id"], "one", "before")
+    return x.select("line_id", F.floor(F.col("before") / chunk).cast("bigint").alias("chunk"), "place")

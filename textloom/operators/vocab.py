@@ -161,27 +161,54 @@ def learned_words(words: DataFrame, path: str, most: int = 3) -> DataFrame:
     return x.select("word", "tokens", (F.col("tokens") <= most).alias("learned"))
 
 
+# Scripts, signs and joined characters that a vocabulary should survive, for information.
+EXOTIC = ["日本語のテキスト", "مرحبا بالعالم", "Γειά σου Κόσμε", "👩‍👩‍👧‍👦 🇹🇷", "∑∫√≠≤", "e\u0301 a\u0308", "\u200bsıfır\u200b", "½ ¼ № ™"]
+
+
+def unknown_id(path: str) -> int | None:
+    """The id that stands for what a vocabulary can't write; null for none."""
+    v = load(path)
+    if v.pieces:
+        return v.tool.unk_id()
+    token = getattr(v.tool.model, "unk_token", None)
+    return v.tool.token_to_id(token) if token else None
+
+
 def validation(texts: DataFrame, vocab: DataFrame, path: str, special: dict[str, int], longest: int | None = None) -> DataFrame:
     """(check, passed, failed, blocking) of a vocabulary over texts (text) and its table.
 
-    Round trip, no unknown token, letter case kept, and (blocking) special ids in
-    their places, ids without gaps, and token length.
+    Round trip, letter case kept, exotic texts (for information), and (blocking) no
+    unknown token, something for every text, special ids in their places, ids
+    without gaps, and token length.
     """
-    x = texts.where("text is not null and text <> ''").withColumn("ids", encode(F.col("text"), path))
-    back = F.trim(decode(F.col("ids"), path))
-    x = x.select((back == F.trim("text")).alias("same"), (F.lower(back) == F.lower(F.trim("text"))).alias("fold"), (F.size("ids") > 0).alias("some"))
-    count = lambda df, c, name, blocking: df.agg(F.sum(F.col(c).cast("int")).alias("passed"), F.sum((~F.col(c)).cast("int")).alias("failed")).select(F.lit(name).alias("check"), F.coalesce("passed", F.lit(0)).alias("passed"), F.coalesce("failed", F.lit(0)).alias("failed"), F.lit(blocking).alias("blocking"))
-    cased = x.withColumn("kept", F.col("same") | ~F.col("fold"))
-    out = count(x, "same", "round trip", False).unionByName(count(cased, "kept", "letter case", False)).unionByName(count(x, "some", "load", True))
-    spots = vocab.sparkSession.createDataFrame([(t, i) for t, i in special.items()], "token string, want int").join(vocab, "token", "left").select(F.coalesce(F.col("id") == F.col("want"), F.lit(False)).alias("ok"))
-    out = out.unionByName(count(spots, "ok", "special ids", True))
-    ids = vocab.agg((F.max("id") + 1 == F.countDistinct("id")).alias("ok"))
-    out = out.unionByName(count(ids, "ok", "ids without gaps", True))
+    spark, unknown = vocab.sparkSession, unknown_id(path)
+    trips = lambda df: df.withColumn("ids", encode(F.col("text"), path)).withColumn("back", F.trim(decode(F.col("ids"), path)))
+    x = trips(texts.where("text is not null and text <> ''"))
+    whole = F.trim("text")
+    x = x.select((F.col("back") == whole).alias("same"), (F.lower("back") == F.lower(whole)).alias("fold"), (F.size("ids") > 0).alias("some"), (~F.array_contains("ids", unknown if unknown is not None else -1)).alias("known"))
+    x = x.withColumn("kept", F.col("same") | ~F.col("fold"))
+    names = {"same": ("round trip", False), "kept": ("letter case", False), "known": ("no unknown token", True), "some": ("load", True)}
+    one = x.agg(*(F.struct(F.count(F.when(F.col(c), 1)).alias("passed"), F.count(F.when(~F.col(c), 1)).alias("failed")).alias(c) for c in names))
+    out = one.select(F.inline(F.array(*(F.struct(F.lit(n).alias("check"), F.col(f"{c}.passed").alias("passed"), F.col(f"{c}.failed").alias("failed"), F.lit(b).alias("blocking")) for c, (n, b) in names.items()))))
+    count = lambda df, name, blocking: df.agg(F.count(F.when(F.col("ok"), 1)).alias("passed"), F.count(F.when(~F.col("ok"), 1)).alias("failed")).select(F.lit(name).alias("check"), "passed", "failed", F.lit(blocking).alias("blocking"))
+    exotic = trips(spark.createDataFrame([(t,) for t in EXOTIC], "text string"))
+    out = out.unionByName(count(exotic.select((F.col("back") == whole).alias("ok")), "exotic texts", False))
+    spots = spark.createDataFrame([(t, i) for t, i in special.items()], "token string, want int").join(vocab, "token", "left").select(F.coalesce(F.col("id") == F.col("want"), F.lit(False)).alias("ok"))
+    out = out.unionByName(count(spots, "special ids", True))
+    out = out.unionByName(count(vocab.agg((F.max("id") + 1 == F.countDistinct("id")).alias("ok")), "ids without gaps", True))
     if longest is not None:
-        out = out.unionByName(count(vocab.select((F.length("token") <= longest).alias("ok")), "ok", "token length", True))
+        out = out.unionByName(count(vocab.select((F.length("token") <= longest).alias("ok")), "token length", True))
     return out
 
 
+def id_samples(vocab: DataFrame, starts: list[int], each: int = 20) -> DataFrame:
+    """(id, token) of ``each`` ids from every start on: what early, middle and late merges look like."""
+    inside = F.lit(False)
+    for a in starts:
+        inside = inside | F.col("id").between(a, a + each - 1)
+    return vocab.where(inside).select("id", "token")
+
+
 def capacity_plan(points: DataFrame, target: int) -> DataFrame:
     """(target, ram_mb, seconds, needed_mb, deviation, warn, verdict) from measured points (vocab, ram_mb, seconds).
 

@@ -296,6 +296,17 @@ def collect_resume(s, d):
     return collect.collect_resume(u, src, float(int(total * 0.9)), first)
 
 
+@query("outcome_counts", PASS + one_pass("taken", 0.9) + f""", q as (select name as source, priority from sources where quota > 0),
+l as (select clean.*, q.priority, {REASON} as reason, {sql_norm('line')} as norm from clean join q on q.source = clean.source), held as (select norm, struct_pack(p := priority, i := line_id) as who from l where line_id in (select line_id from taken)),
+o as (select l.source, coalesce(reason, case when line_id in (select line_id from taken) then 'accepted' when who < struct_pack(p := priority, i := line_id) then 'dup' else 'limit' end) as outcome from l left join held on held.norm = l.norm)
+select source, outcome, count(*) as lines from o group by 1, 2 union all select source, 'read', count(*) from o group by 1
+union all select 'fineweb2', 'record_filtered', count(*) from fineweb2 where not ((language_score is null or language_score >= 0.90) and (minhash_cluster_size is null or minhash_cluster_size <= 1000))""")
+def outcome_counts(s, d):
+    src, total = table(s, d, "sources"), total_chars(s, d, 0.9)
+    records = table(s, d, "fineweb2").select(F.lit("fineweb2").alias("source"), lines.is_usable().alias("kept"))
+    return collect.outcome_counts(clean(s, d), src, total, collect.collect_exact(usable(s, d), src, total), records)
+
+
 @query("shard_assignment", USABLE + " select line_id, source, format('{}_{:04d}', source, (row_number() over (partition by source order by line_id) - 1) // 500000 + 1) as shard from usable where source is not null")
 def shard_assignment(s, d):
     return collect.shard_assignment(usable(s, d))
@@ -307,6 +318,13 @@ def periodic_samples(s, d):
     return collect.periodic_samples(usable(s, d), 100)
 
 
+@query("old_limits", CLEAN + " select line_id, length(line) >= 10 as kept, substring(line, 1, 400) as shown from clean")
+def old_limits(s, d):
+    """A shorter least length without an upper limit, and lines as a report shows them."""
+    c = F.col("line")
+    return clean(s, d).select("line_id", (F.coalesce(T.reject_reason(c, 10, None), F.lit("")) != "length").alias("kept"), T.display(c).alias("shown"))
+
+
 # ---- reports ----
 
 
@@ -468,6 +486,15 @@ def mixture_targets(s, d):
     return sampling.mixture(usable(s, d), targets(s, d, 0.5))
 
 
+@query("config_mixture", TARGETS + """, k as (select distinct source, config from usable where source is not null and config is not null), w as (select *, case when config = 'memur' then 3.0::double else 1.0 end as w from k),
+ct as (select w.source, config, floor(target * w / sum(w) over (partition by w.source))::bigint as target from w join g on g.source = w.source),
+x as (select u.line_id, u.source, u.config, length(u.line)::bigint as n, ct.target, coalesce(sum(length(u.line)) over (partition by u.source, u.config order by u.line_id rows between unbounded preceding and 1 preceding), 0) as before from usable u join ct on ct.source = u.source and ct.config = u.config)
+select line_id, source, config, n from x where before < target""")
+def config_mixture(s, d):
+    u = usable(s, d)
+    return sampling.config_mixture(u, sampling.config_targets(u, targets(s, d, 0.5), {"memur": 3.0}))
+
+
 @query("oversample", TARGETS.replace("* 0.5)", "* 2.5)") + """, x as (select u.line_id, u.source, length(u.line)::bigint as n, g.target from usable u join g on g.source = u.source), h as (select source, sum(n) as have, any_value(target) as target from x group by 1),
 e as (select source, have, target, case when have > 0 and target > have then ceil((target - have) / have) else 0 end::int as epochs from h),
 y as (select x.line_id, x.source, x.n, have, e.target, unnest(range(0, epochs + 1))::int as epoch from x join e on e.source = x.source),
@@ -489,13 +516,47 @@ def shuffle(s, d):
     return sampling.shuffled(clean(s, d)).select("line_id", "place")
 
 
+@query("shuffle_chunks", CLEAN + ", p as (select line_id, ('0x' || substr(sha256('42|' || line_id), 1, 15))::bigint as place from clean) select line_id, ((row_number() over (order by place, line_id) - 1) // 1000)::bigint as chunk, place from p")
+def shuffle_chunks(s, d):
+    """Chunks of 1,000 lines instead of millions, for tables of this size."""
+    return sampling.shuffled_chunks(clean(s, d), 1000)
+
+
 # ---- vocabularies ----
 
 OURS = vocab.vocabulary_path("byte_bpe_50k")
 OTHERS = [vocab.vocabulary_path("word_bpe_49k"), vocab.vocabulary_path("piece_bpe_32k")]
 
 
-@query("encode")
+def sql_vocab(path: str, name: str = "vocab") -> str:
+    """The tokens of a vocabulary file, its special ones too."""
+    read = f"read_json('{path}', columns = {{model: 'STRUCT(vocab MAP(VARCHAR, INTEGER), merges VARCHAR[][])', added_tokens: 'STRUCT(id INTEGER, content VARCHAR)[]'}})"
+    return f"""{name} as (select e.key as token, e.value as id from (select unnest(map_entries(model.vocab)) as e from {read}) union select t.content, t.id from (select unnest(added_tokens) as t from {read})),
+{name}_merges as (select m[1] as a, m[2] as b, rank from (select unnest(model.merges) as m, generate_subscripts(model.merges, 1) as rank from {read}))"""
+
+
+# Byte pair encoding of the pieces in "asked": bytes are written as letters, then the pair of least rank is joined until there is none.
+# A symbol stands between two marks, so that one replacement joins all places of a pair.
+BPE = sql_vocab(OURS) + """,
+bytes as (select b, case when p then chr(b) else chr((256 + row_number() over (partition by p order by b) - 1)::int) end as c from (select b, b between 33 and 126 or b between 161 and 172 or b between 174 and 255 as p from (select unnest(range(256))::int as b))),
+letters as (select array_agg(c order by b) as m from bytes),
+spelled as (select piece, chr(1) || array_to_string(list_transform(range(0, strlen(piece)), lambda i : m[('0x' || hex(encode(piece))[2 * i + 1 : 2 * i + 2])::int + 1]), chr(2) || chr(1)) || chr(2) as s from asked, letters),
+steps as (select piece, s, 0 as step from spelled
+  union all select piece, replace(s, chr(1) || best.a || chr(2) || chr(1) || best.b || chr(2), chr(1) || best.a || best.b || chr(2)), step + 1
+  from (select p.piece, p.s, p.step, arg_min(struct_pack(a := m.a, b := m.b), m.rank) as best
+    from (select piece, s, step, unnest(list_zip(x[:-2], x[2:])) as xy from (select piece, s, step, string_split(s[2:-2], chr(2) || chr(1)) as x from steps)) p join vocab_merges m on m.a = p.xy[1] and m.b = p.xy[2] group by all)),
+tokens as (select piece, generate_subscripts(t, 1) as k, unnest(t) as token from (select piece, string_split(arg_max(s, step)[2:-2], chr(2) || chr(1)) as t from steps group by piece)),
+bpe as (select piece, array_agg(v.id order by k) as ids from tokens join vocab v on v.token = tokens.token group by piece)"""
+BYTE_PIECES = r"regexp_extract_all({}, '''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}]+')"
+RECURSIVE = USABLE.replace("with clean", "with recursive clean", 1)
+ENCODED = RECURSIVE + f""", parts as (select line_id, source, generate_subscripts(p, 1) as place, unnest(p) as piece from (select line_id, source, {BYTE_PIECES.format('line')} as p from usable)), asked as (select distinct piece from parts), """ + BPE
+# Words (with a blank before them) and their pieces; "whole" has the number of tokens of each.
+WORDS = f""", running as (select unnest(string_split({sql_lower('line')}, ' ')) as word from usable), words as (select word, count(*) as n from running where word <> '' group by 1),
+parts as (select word, unnest({BYTE_PIECES.format("' ' || word")}) as piece from words), asked as (select distinct piece from parts), """ + BPE + ", whole as (select word, sum(len(ids))::int as tokens from parts join bpe on bpe.piece = parts.piece group by 1)"
+PLAIN_TOKEN = "regexp_replace(token, '^[Ġ▁]|</w>$', '')"
+
+
+@query("encode", ENCODED + " select line_id, flatten(array_agg(ids order by place)) as ids from parts join bpe on bpe.piece = parts.piece group by 1")
 def encode(s, d):
     return usable(s, d).select("line_id", vocab.encode(F.col("line"), OURS).alias("ids"))
 
@@ -507,32 +568,41 @@ def decode(s, d):
     return x.select("line_id", vocab.decode(F.col("ids"), OURS).alias("line"))
 
 
-@query("vocab_profile")
+@query("vocab_profile", "with " + sql_vocab(OURS) + f""", f as (select token, contains(token, 'http') or contains(token, '.com') or contains(token, '.aspx') or contains(token, '?') or contains(token, '=') as url, regexp_matches(token, '[{T.TURKISH_LETTERS}]') as tr from vocab)
+select count(*) as tokens, sum(url::int)::bigint as url_like, round(sum(url::int) * 100.0 / count(*), 4) as url_percent, sum(tr::int)::bigint as turkish, round(sum(tr::int) * 100.0 / count(*), 4) as turkish_percent, max(length(token))::int as longest from f""")
 def vocab_profile(s, d):
     return vocab.vocab_profile(vocab.vocab_table(s, OURS))
 
 
-@query("long_words")
+@query("long_words", "with " + sql_vocab(OURS) + f", w as (select id, {PLAIN_TOKEN} as word from vocab) select id, word, length(word)::int as length from w where regexp_full_match(word, '\\p{{L}}{{6,}}') order by length(word) desc, word, id limit 20")
 def long_words(s, d):
     return vocab.long_words(vocab.vocab_table(s, OURS))
 
 
-@query("vocab_mapping")
+@query("vocab_samples", "with " + sql_vocab(OURS) + " select id, token from vocab where id between 500 and 519 or id between 10000 and 10019 or id between 50240 and 50259")
+def vocab_samples(s, d):
+    return vocab.id_samples(vocab.vocab_table(s, OURS), [500, 10_000, 50_240])
+
+
+@query("vocab_mapping", "with " + sql_vocab(OURS) + ", " + sql_vocab(OTHERS[0], "other") + " select vocab.id as old_id, other.id as new_id, vocab.token from vocab join other on other.token = vocab.token")
 def vocab_mapping(s, d):
     return vocab.vocab_mapping(vocab.vocab_table(s, OURS), vocab.vocab_table(s, OTHERS[0]))
 
 
-@query("token_frequency")
+@query("token_frequency", RECURSIVE + f""", marked as (select unnest(regexp_extract_all('▁' || replace(line, ' ', '▁'), '▁[^▁]*')) as piece from usable), counts as (select piece, count(*) as n from marked group by 1),
+parts as (select c.piece as whole, n, unnest({BYTE_PIECES.format("regexp_replace(c.piece, '^▁', ' ')")}) as piece from counts c), asked as (select distinct piece from parts), """ + BPE + " select id as token_id, sum(n)::bigint as n from (select n, unnest(ids) as id from parts join bpe on bpe.piece = parts.piece) group by 1")
 def token_frequency(s, d):
     return vocab.token_frequency(pieces.piece_counts(usable(s, d)), OURS)
 
 
-@query("fertility")
+@query("fertility", ENCODED + """, t as (select source, sum(len(ids))::bigint as tokens from parts join bpe on bpe.piece = parts.piece where source is not null group by 1),
+l as (select source, count(*) as lines, sum(len(string_split(line, ' ')))::bigint as words, sum(length(line)) as chars from usable where source is not null group by 1)
+select l.source, lines, words, tokens, round(tokens / words, 4) as fertility, round(chars / tokens, 4) as chars_per_token from l join t on t.source = l.source""")
 def fertility(s, d):
     return vocab.fertility(usable(s, d), OURS)
 
 
-@query("continued_words")
+@query("continued_words", RECURSIVE + WORDS + ", c as (select sum(n)::bigint as words, coalesce(sum(n) filter (tokens > 1), 0)::bigint as continued from words join whole on whole.word = words.word) select *, round(continued * 100.0 / words, 4) as percent from c")
 def continued_words(s, d):
     return vocab.continued_words(report.word_counts(usable(s, d)), OURS)
 
@@ -542,14 +612,20 @@ def register_eval(s, d):
     return vocab.register_eval(usable(s, d), OURS, OTHERS)
 
 
-@query("learned_words")
+@query("learned_words", RECURSIVE + WORDS + " select word, tokens, tokens <= 3 as learned from whole")
 def learned_words(s, d):
     return vocab.learned_words(report.word_counts(usable(s, d)), OURS)
 
 
-@query("validation")
+LONGEST = 128
+
+
+@query("validation", USABLE + f""", n as (select count(*) as n from usable), {sql_vocab(OURS)}, v as (select count(*) as n, count(*) filter (length(token) <= {LONGEST}) as short from vocab)
+select c as "check", p as passed, f as failed, b as blocking from (
+  select 'round trip' as c, n as p, 0::bigint as f, false as b from n union all select 'letter case', n, 0, false from n union all select 'no unknown token', n, 0, true from n union all select 'load', n, 0, true from n
+  union all select 'exotic texts', {len(vocab.EXOTIC)}, 0, false union all select 'special ids', 1, 0, true union all select 'ids without gaps', 1, 0, true union all select 'token length', short, n - short, true from v)""")
 def validation(s, d):
-    return vocab.validation(usable(s, d).select(F.col("line").alias("text")), vocab.vocab_table(s, OURS), OURS, {"<|endoftext|>": 50256})
+    return vocab.validation(usable(s, d).select(F.col("line").alias("text")), vocab.vocab_table(s, OURS), OURS, {"<|endoftext|>": 50256}, LONGEST)
 
 
 @query("capacity_plan", """with p(vocab, ram_mb, seconds) as (values (8000, 420.0::double, 31.0::double), (16000, 466.0, 40.0), (32000, 546.0, 55.0)), l as (select (546.0 - 420.0) / 24000 as m, (55.0 - 31.0) / 24000 as t)

@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.functions.text import clip, collapse_space
+from textloom.operators.lines import field_profile
+
 #: Parts into which a range of ids is divided when records are counted.
 PARTS = 4096
 log = logging.getLogger(__name__)
@@ -52,6 +55,27 @@ def read_sources(spark: SparkSession, configs: list[dict]) -> tuple[DataFrame, l
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, empty), failed
 
 
+def probe(spark: SparkSession, configs: list[dict], rows: int = 50, previews: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(source, config, field, kind, records, total_chars, mean_chars, is_text, previews) over the first rows of every configuration, and (source, config, error) of those that failed.
+
+    A look at what there is before a run: ``rows`` and ``previews`` bound what is read, on purpose.
+    """
+    parts, failed = [], []
+    for c in configs:
+        names = (F.lit(c["source"]).alias("source"), F.lit(c.get("config", "default")).alias("config"))
+        try:
+            x = read_records(spark, c["path"], c.get("kind", "parquet")).limit(rows)
+            profile = field_profile(x)
+            shown = [f for f, t in x.dtypes if t in ("string", "array<string>")]
+            first = x.select(*(clip(collapse_space(F.col(f) if t == "string" else F.array_join(f, " "))).alias(f) for f, t in x.dtypes if f in shown)).limit(previews).collect()
+            seen = spark.createDataFrame([(f, [r[f] for r in first if r[f] is not None]) for f in shown], "field string, previews array<string>")
+            parts.append(profile.join(seen, "field").select(*names, *profile.columns, "previews"))
+        except Exception as e:  # noqa: BLE001
+            failed.append((c["source"], c.get("config", "default"), str(e)[:200]))
+    empty = spark.createDataFrame([], "source string, config string, field string, kind string, records bigint, total_chars bigint, mean_chars double, is_text boolean, previews array<string>")
+    return reduce(lambda a, b: a.unionByName(b), parts, empty), spark.createDataFrame(failed, "source string, config string, error string")
+
+
 def skip_done(records: DataFrame, order: str, already: int) -> DataFrame:
     """Records after the first ``already`` in order (an integer column without nulls).
 
