@@ -467,6 +467,19 @@ def test_terms_are_counted_on_all_documents(spark):
     assert [model.subjects[j] for j in model.speaks_for[model.terms == rare]] == ["spor"]
 
 
+def test_another_language_is_not_drawn_in(spark):
+    """A chance term of a subject stands in every sentence of texts that share nothing else with the labelled ones."""
+    docs, truth = subject_corpus(4, 200)
+    r = random.Random(1)
+    english = [(50_000 + i, " ".join(f"sporaler the {r.choice('abcdefgh')}{r.choice(['harbour', 'lantern', 'kettle', 'orchard'])} was{i % 7} moved again." for _ in range(6)), "web") for i in range(150)]
+    plain = [(60_000 + i, t.replace("sporaler", ""), s) for i, t, s in english]
+    df = spark.createDataFrame(docs + english + plain, "doc_id bigint, text string, source string")
+    labels = spark.createDataFrame([(i, s) for i in truth for s in truth[i]], "doc_id bigint, subject string")
+    names = spark.createDataFrame([("hukuk",), ("spor",), ("yemek",)], "subject string")
+    got = {x.doc_id for x in subjects.found(df, labels, names).collect()}
+    assert not {i for i in got if i >= 60_000} and {i for i in truth if truth[i]} <= got
+
+
 def test_every_link_is_calibrated_with_few_labels(spark):
     docs, truth = subject_corpus(2, 250)
     df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")

@@ -19,7 +19,9 @@ of the decoded combination that has a fifth of the sentences in this count is a
 
 Few documents are labelled, so the terms are counted in rounds: those of the labelled
 documents first, then, ``ROUNDS`` times, also those of all other documents
-that the weights so far place without doubt (``SURE`` of their sentences).
+that the weights so far place without doubt (``SURE`` of their sentences), if most of
+what they say is in words that labelled documents have (else a chance term could
+draw in another language whole).
 
 Texts are cut into sentences and stems once, in the JVM, and kept as numbers in a
 table that all later steps read.
@@ -51,7 +53,8 @@ SURE = 0.6
 ROUNDS = 3
 STEM = 5
 LEAST_SEEN = 3
-LEAST_ODDS = 0.5
+#: A term speaks for a subject if its share among the subjects is above this.
+LEAST_SHARE = 0.5
 #: The share of sentences that a subject needs.
 FULL = 0.2
 BEAM = 8
@@ -61,6 +64,8 @@ MOST_ODDS = 3.0
 #: Parts of the labelled documents for the calibration, and the penalty of moving away from none.
 FOLDS = 5
 SHRINK = 2.0
+#: The least share of its stems that a document without a label has in common with the labelled ones, if it is to be counted.
+LEAST_KNOWN = 0.3
 STEMS = rf"(?<![\p{{L}}\p{{N}}])\p{{L}}[\p{{L}}\p{{N}}]{{2,{STEM - 1}}}"
 SENTENCE = r"[.!?…]+\s+|\n+|\s:\)\s*"
 
@@ -100,6 +105,8 @@ class Model:
     terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     speaks_for: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     odds: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    #: Sorted stems of the labelled documents.
+    known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     links: list[np.ndarray] = field(default_factory=list)
     calibration: list[tuple[float, float]] = field(default_factory=list)
 
@@ -210,7 +217,7 @@ def set_terms(model: Model, counts: DataFrame, size: dict[str, float]) -> None:
     q = n.where(every("n") >= LEAST_SEEN).select("stem", *(((F.col(f"n{j}") + 0.1) / F.lit(t + 1.0)).alias(f"q{j}") for j, t in enumerate(total)))
     q = q.withColumn("all", every("q"))
     best = F.greatest(*(F.struct((F.col(f"q{j}") / F.col("all")).alias("q"), F.lit(-j).alias("j")) for j in range(len(total)))) if len(total) > 1 else F.struct((F.col("q0") / F.col("all")).alias("q"), F.lit(0).alias("j"))
-    rows = q.select("stem", best.alias("b")).where(F.col("b.q") > LEAST_ODDS).select("stem", "b.q", "b.j").toArrow()
+    rows = q.select("stem", best.alias("b")).where(F.col("b.q") > LEAST_SHARE).select("stem", "b.q", "b.j").toArrow()
     stems = rows.column("stem").to_numpy()
     order = np.argsort(stems)
     p = rows.column("q").to_numpy()[order]
@@ -230,9 +237,12 @@ def sure_counts(others: DataFrame, model: Model) -> DataFrame:
             t = Texts.of(b.column("stems"))
             share = m.shares(t, m.evidence(t))
             sure = (np.bincount(t.document, minlength=t.n) >= 3) & (share.max(1, initial=0.0) >= SURE)
+            place = np.minimum(np.searchsorted(m.known, t.stems), max(len(m.known) - 1, 0))
+            doc = t.document[t.sentence]
+            common = np.bincount(doc, m.known[place] == t.stems if len(m.known) else None, t.n)
+            sure &= common >= LEAST_KNOWN * np.bincount(doc, minlength=t.n)
             of = share.argmax(1)
             documents += np.bincount(of[sure], minlength=k)
-            doc = t.document[t.sentence]
             used = sure[doc]
             # Every stem once a document, then by stem and subject.
             pairs = np.unique((doc[used].astype(np.int64) << 32) | t.stems[used].view(np.uint32).astype(np.int64))
@@ -273,6 +283,8 @@ def fit(texts: DataFrame, labels: DataFrame, subjects: list[str], fit_documents:
     order = sorted(range(len(subjects)), key=lambda j: (-size[subjects[j]], subjects[j]))
     sources = [r[0] for r in fitted.groupBy("source").count().where("source is not null").orderBy(F.desc("count"), "source").limit(32).select("source").collect()]
     model = Model(subjects, sources, order)
+    # As many stems as the fitted documents have.
+    model.known = np.sort(counts.select("stem").distinct().toArrow().column("stem").to_numpy())
     set_terms(model, counts, size)
     for _ in range(ROUNDS):
         more = cut(sure_counts(others, model).groupBy("stem", "subject").agg(F.sum("n").alias("n")), "counts")
