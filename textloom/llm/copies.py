@@ -5,7 +5,9 @@ invariants that no formatting change and no reordering of fields can alter (the
 number of letters and digits, and a histogram of some letters). Only lines of
 classes with several members get the costlier keys: the hash of their letters
 and digits in order, and, for lines made of labelled fields, the hash of their
-fields in sorted order.
+fields in sorted order. The sizes of the first classes are kept in a table of
+bounded size that every task has, so no text is moved to find the classes; where
+several classes share a place of it, a line gets its costlier keys for nothing.
 
 Defined results: null, empty and blank texts belong to no class; lines with
 fewer than ``min_chars`` letters and digits are left out; repeated rows with one
@@ -14,11 +16,14 @@ id count as one line; the smallest id of a class stands for it.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import hash128, letters_digits, once, turkish_lower
 from textloom.llm.components import components
+from textloom.llm.sketch import bits_for, count_table, held_by
 from textloom.session import cut
 
 MIN_CHARS = 40
@@ -44,7 +49,7 @@ def field_string(text: Column) -> Column:
 
 
 def keyed_lines(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(id, k1, k2, f1, f2) of the lines that share their cheap key with another line."""
+    """(id, k1, k2, f1, f2) of the lines that share their cheap key with another line, and some more."""
     lines = (
         df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
         .where(F.col("id").isNotNull() & (F.length("text") >= min_chars))
@@ -52,14 +57,18 @@ def keyed_lines(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
         .where(F.length("stripped") >= min_chars)
         .withColumn("k0", cheap_key(F.col("stripped")))
     )
-    several = lines.groupBy("k0").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k0")
-    kept = lines.select("id", "k0", "text").join(several, "k0", "left_semi")
-    k1, k2 = hash128(letters_digits(F.col("text")))
+    # About two places a line, as far as the table may grow.
+    sizes = df.sparkSession.sparkContext.broadcast(count_table(lines, "k0", bits_for(8 * df.count())))
+
+    @F.pandas_udf("boolean")
+    def several(keys: pd.Series) -> pd.Series:
+        return pd.Series(held_by(keys.to_numpy().view(np.uint64), sizes.value) > 1)
+
+    kept = lines.where(several("k0")).withColumn("fields", field_string(F.col("text")))
+    k1, k2 = hash128(F.col("stripped"))
     f1, f2 = hash128(F.col("fields"))
-    return (
-        kept.withColumn("fields", field_string(F.col("text")))
-        .select("id", k1.alias("k1"), k2.alias("k2"), F.when(F.col("fields").isNotNull(), f1).alias("f1"), F.when(F.col("fields").isNotNull(), f2).alias("f2"))
-    )
+    some = F.col("fields").isNotNull()
+    return kept.select("id", k1.alias("k1"), k2.alias("k2"), F.when(some, f1).alias("f1"), F.when(some, f2).alias("f2"))
 
 
 def copy_classes(df: DataFrame, id_col: str = "line_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
