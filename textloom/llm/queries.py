@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.session import cut
 from textloom.llm import copies, leak, mixing, mojibake, neardup, overlap, packing, quality, subjects
+from textloom.queries import BPE
+from textloom.session import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +93,11 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 APART = tuple((a, b) for a in ("forum", "senti", "vitamin") for b in ("wiki", "akademik"))
 
 
+def p7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, tokens): the sizes that are packed."""
+    return packing.token_counts(table(spark, sf_dir, "documents")).select("doc_id", "tokens")
+
+
 def p7_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Containers in which sources that have to stay apart never meet."""
     return packing.containers(table(spark, sf_dir, "documents"), apart=APART)
@@ -198,6 +204,18 @@ select line_id, group_id, n_links from found qualify count(*) over (partition by
 """
 
 
+# White space before a word gives it its last character, if that is a blank. A mark before that character stands in for the look-ahead of the split pattern.
+BLANKS = r"\s\x0b\x{1c}-\x{1f}\x{85}\p{Z}"
+TOKENS = (
+    rf"""with recursive marked as (select doc_id, regexp_replace(text, '([{BLANKS}])([^{BLANKS}])', chr(1) || '\1\2', 'g') as t from documents where text is not null),
+raw as (select doc_id, unnest(regexp_extract_all(t, '''s|''t|''re|''ve|''m|''ll|''d|\x01? ?\p{{L}}+|\x01? ?\p{{N}}+|\x01? ?[^{BLANKS}\x01\p{{L}}\p{{N}}]+|\x01[{BLANKS}]|[{BLANKS}]+')) as p from marked),
+parts as (select doc_id, replace(p, chr(1), '') as piece, count(*) as n from raw group by all), asked as (select distinct piece from parts), """
+    + BPE
+    + """, size as (select doc_id, sum(n * len(ids))::bigint as tokens from parts join bpe on bpe.piece = parts.piece group by 1)
+select d.doc_id, coalesce(tokens, 0)::bigint as tokens from documents d left join size on size.doc_id = d.doc_id"""
+)
+
+
 def phrase_words(table: str, key: str) -> str:
     plain = "lower(replace(text, 'İ', 'i'))"
     for a, b in ("ıi", "şs", "ğg", "çc", "öo", "üu", "âa", "îi", "ûu"):
@@ -219,6 +237,7 @@ def oracle_sql() -> dict[str, str]:
         "p6_report": f"with h as {words_sql('holdout')}, t as {words_sql('train')}, pairs as ({SHARED.format(a='h', b='t', different='')}) select split, source, count(*) as lines, count(hit) as leaked from (select distinct line_id, split, source from holdout) l left join (select distinct a as hit from pairs) p on p.hit = l.line_id group by 1, 2",
         "p2_groups": GROUPS,
         "p7_checks": "select count(*) as documents, 0 as missing, 0 as twice, 0 as overfull, 0 as own_shared, 0 as copies_together, 0 as apart_together from documents",
+        "p7_tokens": TOKENS,
         "p8_exact": PHRASES,
         "p4_found": PLAN + "select run_id, source from used where short",
         "p4_report": PLAN + "select run_id, source, quota, chars, round(target, 3) as target, round(used, 3) as used, round(used / sum(used) over (partition by run_id), 9) as share, short, case when short then round(chars * max_repeat / target, 6) end as dry_at from used",
