@@ -31,12 +31,22 @@ def quotas(sources: DataFrame, total: float) -> DataFrame:
     return q.crossJoin(last).select("source", "quota", (F.col("priority") == F.col("last")).alias("is_last"))  # one row a source
 
 
-def candidates(lines: DataFrame, sources: DataFrame, total: float) -> DataFrame:
-    """Usable lines of sources with a quota, without their text: line_id, rec_id, source, priority, n, hashes of the normal form, quota."""
+def keyed(lines: DataFrame) -> DataFrame:
+    """Usable lines without their text: line_id, rec_id, source, n, hashes of the normal form."""
     h1, h2 = hash128(dedup_norm(F.col("line")))
     x = lines.where(reject_reason(F.col("line")).isNull() & F.col("source").isNotNull())
-    x = with_priority(x, sources).join(F.broadcast(quotas(sources, total)), "source")
-    return x.select("line_id", F.coalesce("rec_id", F.lit(-1)).alias("rec_id"), "source", "priority", F.length("line").cast("bigint").alias("n"), h1.alias("h1"), h2.alias("h2"), "quota", "is_last")
+    return x.select("line_id", "rec_id", "source", F.length("line").cast("bigint").alias("n"), h1.alias("h1"), h2.alias("h2"))
+
+
+def with_quota(keys: DataFrame, sources: DataFrame, total: float) -> DataFrame:
+    """Keyed lines of sources with a quota, with priority, quota and is_last; lines without a record share record -1."""
+    x = with_priority(keys, sources).join(F.broadcast(quotas(sources, total)), "source")  # one row a source
+    return x.select("line_id", F.coalesce("rec_id", F.lit(-1)).alias("rec_id"), "source", "priority", "n", "h1", "h2", "quota", "is_last")
+
+
+def candidates(lines: DataFrame, sources: DataFrame, total: float) -> DataFrame:
+    """Usable lines of sources with a quota, without their text: line_id, rec_id, source, priority, n, hashes of the normal form, quota."""
+    return with_quota(keyed(lines), sources, total)
 
 
 def settle_last(x: DataFrame, total: float, taken: str) -> DataFrame:
@@ -170,7 +180,7 @@ def sequential(x: DataFrame, sources: DataFrame, total: float, had: dict[str, in
     last = next((r.priority for r in registry if r.is_last), None)
     names = {r.priority: r.source for r in registry}
     if not limits:
-        return x.select("line_id", "source", "n").limit(0)
+        return x.sparkSession.createDataFrame([], "line_id bigint, source string, n bigint")
     kept = cut(x.select("line_id", "rec_id", "priority", "n", "h1", "h2"), "candidates")
     # Only in records that have more than the cap in all can a line be turned away by it.
     large = cut(kept.groupBy("priority", "rec_id").agg(F.sum("n").alias("all")).where(F.col("all") >= record_cap).select("priority", "rec_id"), "large")
@@ -219,15 +229,16 @@ def collect_resume(lines: DataFrame, sources: DataFrame, total: float, already:
     this is what the run would have taken.
     """
     already = cut(already, "already")
-    taken = lines.join(already.select("line_id"), "line_id", "left_semi")
-    k1, k2 = hash128(dedup_norm(F.col("line")))
-    seen = cut(taken.select("source", "rec_id", "line_id", k1.alias("h1"), k2.alias("h2")), "seen")
+    keys = cut(keyed(lines), "keyed")  # lines are cleaned and hashed once
+    seen = keys.join(already.select("line_id"), "line_id", "left_semi")
     done = seen.groupBy("source").agg(F.max("rec_id").alias("done"), F.max("line_id").alias("last_line"))
     had = {r.source: r.had for r in already.groupBy("source").agg(F.sum("n").alias("had")).collect()}  # one row a source
-    rest = lines.join(F.broadcast(done), "source", "left")
+    rest = keys.join(F.broadcast(done), "source", "left")
     rest = rest.where(F.col("last_line").isNull() | F.coalesce(F.col("rec_id") > F.col("done"), F.col("line_id") > F.col("last_line"))).drop("done", "last_line")
-    x = candidates(rest, sources, total).join(seen.select("h1", "h2"), ["h1", "h2"], "left_anti")
-    return sequential(x, sources, total, had, record_cap)
+    x = with_quota(rest.join(seen.select("h1", "h2"), ["h1", "h2"], "left_anti"), sources, total)
+    out = sequential(x, sources, total, had, record_cap)
+    drop(already, keys)
+    return out
 
 
 def shard_assignment(lines: DataFrame, shard_lines: int = SHARD_LINES) -> DataFrame:
