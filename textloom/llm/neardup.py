@@ -52,7 +52,7 @@ from textloom.session import cut
 
 MIN_WORDS = 20
 SHARE = 0.75
-RARE = 32
+RARE = 120
 #: Rows of a bucket up to which all its lines are compared with one another.
 HOT = 1000
 #: Rows of a bucket within one batch from which on it is crowded without being counted any further.
