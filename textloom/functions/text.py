@@ -45,11 +45,6 @@ def hash128(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text), F.xxhash64(F.lit(0x5EED), text)
 
 
-def word_hashes(words: Column) -> Column:
-    """The 64-bit hash of every word of a ``word_string``; an empty array when there is none."""
-    return F.when(F.length(words) > 0, F.transform(F.split(words, " "), lambda w: F.xxhash64(w))).otherwise(F.array().cast("array<bigint>"))
-
-
 # ---- lines: cleaning, keys, reasons for rejection, quality flags ----
 
 # Limits of a usable line.
